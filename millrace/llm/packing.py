@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from bisect import bisect_right
 from collections import deque
 from collections.abc import Callable, Iterator
@@ -10,6 +11,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,7 +22,7 @@ from .common import kept, slices, stored
 #: Distinct words whose ids a Python worker remembers; beyond, it starts anew.
 REMEMBERED = 1_000_000
 #: Rows of the offsets table (8 bytes each, and a key) that may be broadcast.
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 500_000
 
 
 class WordEncoder:
@@ -28,15 +30,21 @@ class WordEncoder:
 
     Such a tokenizer drops white space and merges within words alone, so that a
     text's ids are those of its stretches between spaces, one after the other;
-    each distinct stretch is encoded once. A comma or full stop after a letter
-    is a token of its own, and case is dropped, so that such variants of an
-    ASCII word share its ids.
+    each distinct stretch is encoded once. Words, letters alone, are tokens
+    apart from the commas and full stops behind them, and case is dropped, so
+    that both are taken off first where that changes no token.
     """
 
+    #: A sign before a comma or full stop, which one token may hold together.
+    UNSAFE = re.compile(r"[.,](?=[ \n])(?<=[\W_][.,])(?<![ \n].)")
+
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker for each core
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[number for token, number in vocabulary.items() if token.endswith("</w>")]] = True
 
     @classmethod
     def shared(cls, path: str) -> WordEncoder:
@@ -44,35 +52,45 @@ class WordEncoder:
         return kept(f"words {path}", lambda: cls(path))
 
     def learn(self, words: list[str]) -> None:
-        """Encodes words: plain ones many at a time, told apart by their offsets; others one by one, as marks and white space shift offsets."""
-        plain = [w for w in words if w.isalpha() or w.isascii() and w.isprintable()]
+        """Encodes words: those of letters, which are one stretch of tokens each, many at a time; others one by one."""
+        plain = [w for w in words if w.isalpha() and "\u0130" not in w]
         other = list(set(words).difference(plain))
         for w, found in zip(other, self.tokenizer.encode_batch(other, add_special_tokens=False)):
             self.known[w] = np.array(found.ids, "<u4").tobytes()
-        for at in range(0, len(plain), 256):
-            part = plain[at : at + 256]
-            found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            begun = np.fromiter((a for a, _ in found.offsets), np.int64)
-            ends = np.cumsum(np.fromiter(map(len, part), np.int64, len(part)) + 1)
-            cuts = [0, *(4 * np.searchsorted(begun, ends)).tolist()]
-            raw = np.array(found.ids, "<u4").tobytes()
-            self.known.update(zip(part, (raw[a:b] for a, b in zip(cuts, cuts[1:]))))
+        for at in range(0, len(plain), 512):
+            part = plain[at : at + 512]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            cuts = [0, *(4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()]
+            raw = ids.tobytes()
+            self.known.update(zip(part, (raw[a:b] for a, b in zip(cuts, cuts[1:])), strict=True))
+
+    def spaced(self, text: str) -> str:
+        """The text with its words apart from commas and full stops, where its tokens stay the same."""
+        # U+0130 is the one letter that has a sign when in lower case.
+        if "\u0130" not in text and not self.UNSAFE.search(text):
+            for sign in ",.":
+                text = text.replace(f"{sign} ", f" {sign} ").replace(f"{sign}\n", f" {sign} ")
+        if text.isascii() and "|>" not in text:
+            text = text.lower()
+        return text.replace("\n", " ")
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.known) > REMEMBERED:
             self.known = {}
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        new = {w for words in cut for w in words}.difference(self.known)
-        split = {}
-        for w in new:
-            tail = w[-1:] if w[-1:] in (",", ".") and w[-2:-1].lower().isalpha() else ""
-            body = w[: -1 if tail else None]
-            split[w] = body.lower() if body.isascii() and body.isalpha() else body, tail
-        self.learn(list({x for pair in split.values() for x in pair}.difference(self.known)))
-        for w, (body, tail) in split.items():
-            self.known[w] = self.known[body] + self.known[tail]
-        get = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(get, words)), "<u4") for words in cut]
+        words = pc.split_pattern(pa.array(map(self.spaced, texts), pa.large_string()), " ")
+        coded = words.values.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        self.learn(list(set(distinct).difference(self.known)))
+        found = [self.known[w] for w in distinct]
+        # The ids of all words in turn, gathered from those of the distinct words.
+        sizes = np.fromiter((len(x) // 4 for x in found), np.int64, len(found))
+        at = coded.indices.to_numpy(zero_copy_only=False)
+        n = sizes[at]
+        ends = np.cumsum(n)
+        first = (np.cumsum(sizes) - sizes)[at] - (ends - n)
+        ids = np.frombuffer(b"".join(found), "<u4")[np.repeat(first, n) + np.arange(n.sum())]
+        bounds = np.concatenate(([0], ends))[words.offsets.to_numpy()]
+        return [ids[a:b] for a, b in zip(bounds, bounds[1:])]
 
 
 @dataclass
@@ -200,7 +218,7 @@ def encoded(path: str, capacity: int, end: int) -> Callable[[Iterator[pa.RecordB
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, seen = WordEncoder.shared(path), TaskContext.get().partitionId(), {}
         stop = np.array([end], "<u4")
-        for batch in slices(batches, 64):
+        for batch in slices(batches, 512):
             texts = [x or "" for x in batch.column(1).to_pylist()]
             ids, left, rank, full = [], [], [], []
             for found in encoder.encode(texts):
@@ -224,7 +242,7 @@ def placed(found: Plan, capacity: int, whole: int) -> Callable[[Iterator[pa.Reco
     """A row for each piece: those that fill a sequence come after the plan's sequences."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 256):
+        for batch in slices(batches, 512):
             owner, columns, parts = [], ([], [], [], [], []), []
             for i, r in enumerate(batch.select(["rest", "rank", "full", "ids"]).to_pylist()):
                 n, raw = len(r["ids"]) // 4, r["ids"]
