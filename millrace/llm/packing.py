@@ -218,12 +218,14 @@ def encoded(path: str, capacity: int, end: int) -> Callable[[Iterator[pa.RecordB
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, seen = WordEncoder.shared(path), TaskContext.get().partitionId(), {}
         stop = np.array([end], "<u4")
+        narrow = "<u2" if max(len(encoder.ends), end + 1) <= 1 << 16 else "<u4"
         for batch in slices(batches, 512):
             texts = [x or "" for x in batch.column(1).to_pylist()]
-            ids, left, rank, full = [], [], [], []
+            ids, tokens, left, rank, full = [], [], [], [], []
             for found in encoder.encode(texts):
                 whole = np.concatenate((found, stop))
-                ids.append(whole.tobytes())
+                ids.append(whole.astype(narrow).tobytes())
+                tokens.append(len(whole))
                 rest = len(whole) % capacity
                 left.append(rest)
                 rank.append(seen.get(rest, 0))
@@ -231,8 +233,8 @@ def encoded(path: str, capacity: int, end: int) -> Callable[[Iterator[pa.RecordB
                 full.append(seen.get(-1, 0))
                 seen[-1] = full[-1] + len(whole) // capacity
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.full(len(ids), part, np.int32)), pa.array(left, pa.int32()), pa.array(rank, pa.int64()), pa.array(full, pa.int64()), pa.array(ids, pa.binary())],
-                ["row_id", "part", "rest", "rank", "full", "ids"],
+                [batch.column(0), pa.array(np.full(len(ids), part, np.int32)), pa.array(left, pa.int32()), pa.array(rank, pa.int64()), pa.array(full, pa.int64()), pa.array(tokens, pa.int64()), pa.array(ids, pa.binary())],
+                ["row_id", "part", "rest", "rank", "full", "tokens", "ids"],
             )
 
     return run
@@ -244,8 +246,9 @@ def placed(found: Plan, capacity: int, whole: int) -> Callable[[Iterator[pa.Reco
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 512):
             owner, columns, parts = [], ([], [], [], [], []), []
-            for i, r in enumerate(batch.select(["rest", "rank", "full", "ids"]).to_pylist()):
-                n, raw = len(r["ids"]) // 4, r["ids"]
+            for i, r in enumerate(batch.select(["rest", "rank", "full", "tokens", "ids"]).to_pylist()):
+                n = r["tokens"]
+                raw = np.frombuffer(r["ids"], "<u2" if len(r["ids"]) == 2 * n else "<u4").astype("<u4").tobytes()
                 pieces = [(k * capacity, capacity, found.sequences + r["full"] + k, 0) for k in range(n // capacity)]
                 if r["rest"]:
                     pieces += [(n - r["rest"] + a, size, s, o) for a, size, s, o in found.pieces(r["rest"], r["rank"])]
@@ -276,8 +279,8 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     """
     rows = docs.select(F.col(id_col).alias("row_id"), F.col(text_col).alias("text"))
     kind = rows.schema["row_id"].dataType.simpleString()
-    ids = stored(rows.mapInArrow(encoded(tokenizer, capacity, end), f"row_id {kind}, part int, rest int, rank long, full long, ids binary"))
-    per_part = ids.groupBy("part", "rest").agg(F.count("*").alias("n"), F.sum(F.floor(F.length("ids") / (4 * capacity))).alias("whole"))
+    ids = stored(rows.mapInArrow(encoded(tokenizer, capacity, end), f"row_id {kind}, part int, rest int, rank long, full long, tokens long, ids binary"))
+    per_part = ids.groupBy("part", "rest").agg(F.count("*").alias("n"), F.sum(F.floor(F.col("tokens") / capacity)).alias("whole"))
     before = Window.partitionBy("rest").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     per_part = stored(per_part.withColumn("ranked", F.coalesce(F.sum("n").over(before), F.lit(0))))
     wholes = per_part.groupBy("part").agg(F.sum("whole").alias("whole")).withColumn("one", F.lit(1))
@@ -288,7 +291,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     offsets = stored(per_part.join(wholes, "part").select("part", "rest", "ranked", "before"))
     if offsets.count() <= BROADCAST_ROWS:
         offsets = F.broadcast(offsets)
-    ready = ids.join(offsets, ["part", "rest"]).select("row_id", "rest", (F.col("rank") + F.col("ranked")).alias("rank"), (F.col("full") + F.col("before")).alias("full"), "ids")
+    ready = ids.join(offsets, ["part", "rest"]).select("row_id", "rest", (F.col("rank") + F.col("ranked")).alias("rank"), (F.col("full") + F.col("before")).alias("full"), "tokens", "ids")
     return ready.mapInArrow(placed(found, capacity, found.sequences), f"row_id {kind}, start long, length long, text_tokens long, sequence_id long, offset long, ids binary")
 
 
