@@ -21,15 +21,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near copies, the document with the least id (of rows that share it, one).
+    """Of each component of near copies, one document: the least id (null last), then the least hash of the text.
 
-    Documents without id, and groups of nothing else, keep one row each.
+    Rows with the same id and text count as one. Only ids and hashes are
+    gathered; texts meet the chosen ones in a join on both.
     """
     docs = docs.select(*COLUMNS)
     found = simhash.near_duplicates(docs)
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("id"), F.col("fingerprint").alias("fp")).distinct()
-    kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("id")))
-    return kept.dropDuplicates(["id", "fp"]).select(*COLUMNS)
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("text_hash").alias("hash")))
+    chosen = stored(found.groupBy("component").agg(best.alias("b")).select("b.*"))
+    keys = docs.withColumns({"none": F.col("doc_id").isNull(), "id": F.coalesce("doc_id", F.lit(0)), "hash": F.xxhash64("text")})
+    return keys.join(chosen, ["none", "id", "hash"]).dropDuplicates(["none", "id", "hash"]).select(*COLUMNS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -44,15 +44,15 @@ def fingerprint(raw: bytes | None, width: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4) -> DataFrame:
-    """(doc_id, fp) for each row, fp being the fingerprint as a signed long."""
+    """(doc_id, text_hash, fp) for each row: Spark's xxhash64 of the text (of null: its seed), and the fingerprint as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            fps = np.array([fingerprint(x, width) for x in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            fps = np.array([fingerprint(x, width) for x in batch.column(2).to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps.view(np.int64))], ["doc_id", "text_hash", "fp"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("raw"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).cast("binary").alias("raw"))
+    return rows.mapInArrow(run, "doc_id long, text_hash long, fp long")
 
 
 def masks(bits: int, most: int) -> np.ndarray:
@@ -143,11 +143,12 @@ def ball_links(fps: DataFrame, radius: int = 4, at_once: int = AT_ONCE) -> DataF
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4, width: int = 4) -> DataFrame:
-    """(doc_id, fingerprint, component_id, n_copies) for each row of ``docs``.
+    """(doc_id, fingerprint, component_id, n_copies, component, text_hash) for each row of ``docs``.
 
     fingerprint: 16 hex digits; component_id: the least doc_id of the component
     of fingerprints linked at ``radius`` bits; n_copies: rows with this
-    fingerprint. Texts that are null, empty or white space alone have
+    fingerprint; component: its least fingerprint, as a long; text_hash: Spark's
+    xxhash64 of the text. Texts that are null, empty or white space alone have
     fingerprint 0 and are linked like any other. Rows with a null or repeated
     id keep one row each; null ids never name a component unless it has no
     other. An empty table gives none. Other columns are ignored.
@@ -157,7 +158,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = stored(connected_components(ball_links(nodes, radius)))
     nodes = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "least", "n_copies", F.coalesce("root", "fp").alias("root"))
     named = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = stored(nodes.join(named, "root").select("fp", "n_copies", "component_id"))
+    classes = stored(nodes.join(named, "root").select("fp", "n_copies", "component_id", F.col("root").alias("component")))
     return rows.join(classes, "fp").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "n_copies"
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "n_copies", "component", "text_hash"
     )

@@ -231,14 +231,22 @@ def evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def lexicon(found: list[tuple[str, int, int, float]], toxic: int, clean: int) -> dict[str, float]:
     """Terms and weights from (term, clean texts, toxic texts, log likelihood ratio); words that a chosen stem begins are left out."""
     weight = {t: math.log((k + 0.5) / (toxic + 1)) - math.log((c + 0.5) / (clean + 1)) for t, c, k, _ in found}
-    stems: list[str] = []
+    # A stem has to be more than one of its words, and than a longer stem.
+    family: dict[str, int] = {}
+    for t, _, k, _ in found:
+        word = t.removesuffix("*")
+        for size in STEMS:
+            if len(word) > size or (len(word) == size and not t.endswith("*")):
+                share = 0.95 if t.endswith("*") else 0.6
+                family[word[:size] + "*"] = max(family.get(word[:size] + "*", 0), int(k / share))
+    stems = {t.removesuffix("*") for t, _, k, _ in found if t.endswith("*") and k > family.get(t, 0)}
     out = {s: 2.0 for s in SEEDS}
-    for term, *_ in sorted(found, key=lambda x: (not x[0].endswith("*"), len(x[0]), x[0])):
+    for term, *_ in found:
         word = term.removesuffix("*")
-        if any(word.startswith(s) and weight[term] <= weight[s + "*"] + 0.7 for s in stems):
+        if term.endswith("*") and word not in stems:
+            continue
+        if any(word.startswith(s) and word != s and weight[term] <= weight[s + "*"] + 0.7 for s in stems):
             continue
-        if term.endswith("*"):
-            stems.append(word)
         out[term] = weight[term]
     return out
 

@@ -25,7 +25,7 @@ BLOCKED = (
     "http://payday-loans-fast.example.net/apply http://click-here-win-prize.example.com/iphone https://torrent-crack-keygen.example.org/download "
     "http://buy-cheap-meds-online.example.net/pills https://poker-online-bonus.example.com/en/play http://porn-tube.example.org/en/55 https://lose-weight-fast.example.com/en/offer "
     "http://link-farm.example.net/seo https://malware-download.example.org/en/exe http://cheap-pills.example.net/fr/176/ https://spam-farm.example.com/es/9 http://xxx-cams.example.net/live "
-    "https://fake-designer-bags.example.com/sale http://free-money-now.example.org/en/1 https://escort-girls.example.net/de/2 http://casino-spam.example.com/fr/88"
+    "https://fake-designer-bags.example.com/sale http://free-money-now.example.org/en/1 http://www.link-farm.example.com/es/31.html https://www.seo-spam-links.example.org/fr/4.html https://escort-girls.example.net/de/2 http://casino-spam.example.com/fr/88"
 ).split()
 #: The rules of the contract: host and path that follow, and the verdict.
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
