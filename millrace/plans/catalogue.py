@@ -5,25 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-
-def region_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    price = F.col("l_extendedprice").cast("decimal(12,2)") * (1 - F.col("l_discount").cast("decimal(4,2)"))
-    return (
-        t("region").where(F.col("r_name") == "ASIA")
-        .join(t("nation"), F.col("r_regionkey") == F.col("n_regionkey"))
-        .join(t("customer"), F.col("n_nationkey") == F.col("c_nationkey"))
-        .join(t("orders").where((F.col("o_orderdate") >= "1996-01-01") & (F.col("o_orderdate") < "1997-01-01")), F.col("c_custkey") == F.col("o_custkey"))
-        .join(t("lineitem"), F.col("o_orderkey") == F.col("l_orderkey"))
-        .groupBy("n_name").agg(F.sum(price).cast("decimal(28,4)").alias("revenue"), F.count_distinct("o_orderkey").alias("n_orders"))
-    )
+from ..functions import scalar
+from ..operators import relational
+from ..sources.tables import Tables
+from ..streaming import events
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"region_revenue": region_revenue}
+    def over_tables(f: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        return lambda spark, sf_dir: f(Tables(spark, sf_dir))
+
+    return {name: over_tables(f) for part in (relational, scalar) for name, f in part.QUERIES.items()} | events.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return relational.SQL | scalar.SQL | events.SQL
