@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import stored
+
 START, END = "<|im_start|>", "<|im_end|>"
 # Strings that some chat template reads as control.
 CONTROLS = (START, END, "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<|endoftext|>", "<|startoftext|>")
@@ -42,8 +44,8 @@ def windows(
 
     Turns are ordered by turn number, then role and text (nulls first). Windows
     are runs of whole turns: prefix sums of tokens cut a conversation into cells
-    of half of what the budget leaves for new turns; a turn belongs to the cell
-    in which it begins, and one of more than half a cell's window stands alone,
+    of half of what the budget leaves for new turns (and every ``BLOCK`` turn
+    numbers a new one begins); a turn belongs to the cell in which it begins, and one of more than half a cell's window stands alone,
     so no window exceeds its share unless one turn does. Every window but the
     first begins with the conversation's system turn (its first turn, if that is
     of the role ``system``) and up to ``history_turns`` turns that came before
@@ -58,40 +60,51 @@ def windows(
     """
     half = max(1, (budget - history_tokens) // 2)
     rows = turns.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = rows.withColumn("block", F.floor(F.coalesce(F.col("turn"), F.lit(-1)) / BLOCK)).withColumn("tokens", tokens(F.col("text")))
+    # Keys without nulls, so that joins keep the partitioning of the windows before them.
+    rows = rows.withColumns({"none": F.col("conv_id").isNull(), "key": F.coalesce(F.col("conv_id").cast("string"), F.lit(""))})
+    rows = rows.withColumns({"block": F.floor(F.coalesce(F.col("turn"), F.lit(-1)) / BLOCK), "tokens": tokens(F.col("text"))})
     rows = rows.withColumn("big", (F.col("tokens") > half).cast("long"))
     # Two levels of sums: within blocks of turns, and over the blocks.
-    own = Window.partitionBy("conv_id", "block").orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.select("conv_id", "block", "role", "text", "tokens", "big", F.count("*").over(own).alias("n"), F.sum("tokens").over(own).alias("t"), F.sum("big").over(own).alias("b"))
-    over = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = rows.groupBy("conv_id", "block").agg(F.count("*").alias("bn"), F.sum("tokens").alias("bt"), F.sum("big").alias("bb"))
-    blocks = blocks.select(F.col("conv_id").alias("c"), F.col("block").alias("k"), *(F.coalesce(F.sum(x).over(over), F.lit(0)).alias(x) for x in ("bn", "bt", "bb")))
-    rows = rows.join(blocks, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("block") == F.col("k")))
-    rows = rows.select(
-        "conv_id", "role", "text", "tokens", "big", (F.col("n") + F.col("bn")).alias("pos"), (F.col("t") + F.col("bt") - F.col("tokens")).alias("before"), (F.col("b") + F.col("bb")).alias("bigs")
+    own = ("none", "key", "block")
+    within = Window.partitionBy(*own).orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, 0)
+    over = Window.partitionBy("none", "key").orderBy("block")
+    blocks = rows.groupBy(*own).agg(F.count("*").alias("bn"), F.sum("tokens").alias("bt"), F.sum("big").alias("bb"))
+    earlier = over.rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select(*own, *(F.coalesce(F.sum(x).over(earlier), F.lit(0)).alias(x) for x in ("bn", "bt", "bb")), F.lead("block").over(over).isNotNull().alias("more"))
+    rows = rows.select(*own, "conv_id", "role", "text", "tokens", "big", F.count("*").over(within).alias("n"), F.sum("tokens").over(within).alias("t"), F.sum("big").over(within).alias("b"))
+    rows = rows.join(blocks, list(own)).select(
+        *own, "more", "conv_id", "role", "text", "big", (F.col("n") + F.col("bn")).alias("pos"), (F.col("t") + F.col("bt") - F.col("tokens")).alias("before"), (F.col("b") + F.col("bb")).alias("bigs")
     )
     cell = F.when(F.col("big") == 1, -1).otherwise(F.floor(F.col("before") / half))
-    rows = rows.withColumn("cell", cell).withColumn("first", F.min("pos").over(Window.partitionBy("conv_id", "bigs", "big", "cell")))
-    starts = rows.where((F.col("pos") == F.col("first")) & (F.col("pos") > 1)).select(F.col("conv_id").alias("c"), "first", F.col("before").alias("upto"))
+    rows = rows.withColumn("cell", cell).withColumn("first", F.min("pos").over(Window.partitionBy(*own, "bigs", "big", "cell")))
+    # Whether another window begins within the next turns, which this turn may serve as history.
+    ahead = [F.lead("first", k).over(Window.partitionBy(*own).orderBy("pos")) for k in range(1, history_turns + 1)]
+    serves = F.lit(False)
+    for f in ahead:
+        serves = serves | F.coalesce(f != F.col("first"), F.col("more"))
+    rows = stored(rows.select("none", "key", "conv_id", "role", "text", "pos", "before", "first", serves.alias("serves")))
+    starts = rows.where((F.col("pos") == F.col("first")) & (F.col("pos") > 1)).select("none", "key", "first", F.col("before").alias("upto"))
+    is_system = (F.col("pos") == 1) & (F.col("role") == "system")
     # History: the turns just before a window, met by their positions.
-    back = starts.select("c", "first", "upto", F.explode(F.sequence(F.greatest(F.lit(1).cast("long"), F.col("first") - history_turns), F.col("first") - 1)).alias("p"))
-    plain = rows.select("conv_id", "role", "text", "pos", "before")
-    history = plain.join(back, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("pos") == F.col("p"))).where(F.col("upto") - F.col("before") <= history_tokens)
-    system = plain.where((F.col("pos") == 1) & (F.col("role") == "system"))
-    history = history.where(~((F.col("pos") == 1) & (F.col("role") == "system"))).select("conv_id", "role", "text", "pos", "first")
+    back = starts.select("none", "key", F.col("first").alias("to"), "upto", F.explode(F.sequence(F.greatest(F.lit(1).cast("long"), F.col("first") - history_turns), F.col("first") - 1)).alias("pos"))
+    history = rows.where(F.col("serves") & ~is_system).join(back, ["none", "key", "pos"]).where(F.col("upto") - F.col("before") <= history_tokens)
     # A long conversation has many windows, so that its system turn goes to several tasks.
+    system = rows.where(is_system).join(starts.select("none", "key").distinct(), ["none", "key"], "left_semi")
     system = system.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    kept = system.join(starts.select("c", "first"), F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("salt") == F.col("first") % SALTS)).select("conv_id", "role", "text", "pos", "first")
-    parts = rows.select("conv_id", "role", "text", "pos", "first").withColumn("repeated", F.lit(False)).unionByName(history.unionByName(kept).withColumn("repeated", F.lit(True)))
-    parts = parts.select("conv_id", "first", "pos", "repeated", (~F.col("repeated") & (F.col("role") == "assistant")).alias("loss"), escaped(F.col("role")).alias("role"), escaped(F.col("text")).alias("text"))
+    kept = system.join(starts.select("none", "key", F.col("first").alias("to"), (F.col("first") % SALTS).alias("salt")), ["none", "key", "salt"])
+    columns = ["none", "key", "conv_id", "role", "text", "pos"]
+    parts = rows.select(*columns, "first", F.lit(False).alias("repeated"))
+    for repeated in (history, kept):
+        parts = parts.unionByName(repeated.select(*columns, F.col("to").alias("first"), F.lit(True).alias("repeated")))
+    parts = parts.select("none", "key", "conv_id", "first", "pos", "repeated", (~F.col("repeated") & (F.col("role") == "assistant")).alias("loss"), escaped(F.col("role")).alias("role"), escaped(F.col("text")).alias("text"))
     parts = parts.withColumn("piece", F.concat(F.lit(START), "role", F.lit("\n"), "text", F.lit(END + "\n")))
-    inside = Window.partitionBy("conv_id", "first").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("none", "key", "first").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
     begun = F.coalesce(F.sum(F.length("piece").cast("long")).over(inside), F.lit(0)) + len(START)
     parts = parts.withColumn("role_start", begun)
     segment = F.struct(
         "pos", "role_start", F.length("role").cast("long").alias("role_length"), (F.col("role_start") + F.length("role") + 1).alias("text_start"), F.length("text").cast("long").alias("text_length"), "repeated", "loss"
     )
-    grouped = parts.groupBy("conv_id", "first").agg(F.array_sort(F.collect_list(F.struct("pos", "piece", segment.alias("segment")))).alias("parts"))
+    grouped = parts.groupBy("none", "key", "first", "conv_id").agg(F.array_sort(F.collect_list(F.struct("pos", "piece", segment.alias("segment")))).alias("parts"))
     return grouped.select("conv_id", "first", F.array_join(F.col("parts.piece"), "").alias("text"), F.col("parts.segment").alias("segments"))
 
 

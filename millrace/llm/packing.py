@@ -20,7 +20,7 @@ from tokenizers import Tokenizer
 from .common import kept, slices, stored
 
 #: Distinct words whose ids a Python worker remembers; beyond, it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 750_000
 #: Rows of the offsets table (8 bytes each, and a key) that may be broadcast.
 BROADCAST_ROWS = 500_000
 
