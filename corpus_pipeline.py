@@ -21,13 +21,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near copies, one document: the least id (null last), then the least hash of the text.
+    """Of each group of near copies (five-word shingles, a similarity of 0.8), one document: the least id (null last), then the least hash of the text.
 
     Rows with the same id and text count as one. Only ids and hashes are
     gathered; texts meet the chosen ones in a join on both.
     """
     docs = docs.select(*COLUMNS)
-    found = simhash.near_duplicates(docs)
+    found = simhash.near_copies(docs)
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("text_hash").alias("hash")))
     chosen = stored(found.groupBy("component").agg(best.alias("b")).select("b.*"))
     keys = docs.withColumns({"none": F.col("doc_id").isNull(), "id": F.coalesce("doc_id", F.lit(0)), "hash": F.xxhash64("text")})

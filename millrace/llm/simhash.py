@@ -162,3 +162,164 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.join(classes, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "n_copies", "component", "text_hash"
     )
+
+
+#: Near copies by similarity: words of 32 bits of a longer fingerprint, in each
+#: of which copies may meet; bits of the whole that they may differ in.
+TABLES = 6
+WORD_BITS = 32
+MOST_BITS = 46
+#: Rows that a prefix gathers at most, on average.
+PREFIX_ROWS = 4_000_000
+BROADCAST_ROWS = 200_000
+
+
+def shingles(raw: bytes | None, width: int) -> tuple[int, np.ndarray]:
+    """Hash of a text's words, and of its distinct shingles, ascending (words as in ``fingerprint``)."""
+    words = (raw or b"").lower().split()
+    text = b" ".join(words)
+    digest = xxhash.xxh64_intdigest
+    if len(words) <= width:
+        found = [digest(text, SEED)] if words else []
+    else:
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+        starts = np.concatenate(([0], ends[:-1] + 1))
+        found = [digest(text[a:b], SEED) for a, b in zip(starts[: 1 - width].tolist(), ends[width - 1 :].tolist())]
+    return digest(text, SEED + 1), np.unique(np.array(found, np.uint64))
+
+
+def sketch(hashes: np.ndarray) -> bytes:
+    """SimHash of ``TABLES`` words over distinct shingles, whose hashes are mixed anew for every two words."""
+    bits = []
+    for k in range(TABLES * WORD_BITS // BITS):
+        ones = np.zeros(BITS, np.int64)
+        for at in range(0, len(hashes), 1 << 15):
+            h = (hashes[at : at + (1 << 15)] + np.uint64(k + 1)) * np.uint64(0x9E3779B97F4A7C15)
+            h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+            h ^= h >> np.uint64(32)
+            ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        bits.append(2 * ones > len(hashes))
+    return np.packbits(np.concatenate(bits), bitorder="little").tobytes()
+
+
+def collisions(words: np.ndarray, prefix: int, prefix_bits: int, half: int, at_once: int = AT_ONCE) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of indices of words that have a variant within ``half`` bits in common that begins with this prefix.
+
+    Of each set of words with a variant in common, the first is paired with all
+    others and each with the next. Crowded prefixes are split by their next bit.
+    """
+    low_bits = WORD_BITS - prefix_bits
+    used = np.bitwise_count((words >> np.uint32(low_bits)) ^ np.uint32(prefix)).astype(np.int64)
+    own = np.flatnonzero(used <= half)
+    words, used = words[own], used[own]
+    makes = [len(masks(low_bits, half - d)) for d in range(half + 1)]
+    if sum(int((used == d).sum()) * m for d, m in enumerate(makes)) > at_once and low_bits > 8:
+        parts = [collisions(words, prefix << 1 | bit, prefix_bits + 1, half, at_once) for bit in (0, 1)]
+        return np.concatenate([own[p[0]] for p in parts]), np.concatenate([own[p[1]] for p in parts])
+    low = words & np.uint32((1 << low_bits) - 1)
+    values, owners = [], []
+    for d in range(half + 1):
+        mine, mask = np.flatnonzero(used == d), masks(low_bits, half - d).astype(np.uint32)
+        values.append((low[mine][:, None] ^ mask[None, :]).ravel())
+        owners.append(np.repeat(mine, len(mask)))
+    value, owner = np.concatenate(values), np.concatenate(owners)
+    ordered = np.sort(value)
+    shared = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+    if not len(shared):
+        return own[:0], own[:0]
+    place = np.minimum(np.searchsorted(shared, value), len(shared) - 1)
+    hit = shared[place] == value
+    place, owner = place[hit], owner[hit]
+    order = np.lexsort((owner, place))
+    place, owner = place[order], owner[order]
+    begin = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
+    centre = np.repeat(owner[begin], np.diff(np.append(begin, len(place))))
+    same = place[1:] == place[:-1]
+    a, b = np.concatenate((centre, owner[:-1][same])), np.concatenate((owner, owner[1:][same]))
+    key = np.unique(a[a != b].astype(np.int64) * len(own) + b[a != b])
+    return own[key // max(1, len(own))], own[key % max(1, len(own))]
+
+
+def similar_links(nodes: DataFrame, radius: int = 4, most_bits: int = MOST_BITS) -> DataFrame:
+    """(src, dst) of nodes (node: long, sketch) that are within ``radius`` bits in one of their words, and ``most_bits`` in all.
+
+    Ball hashing as in ``ball_links``, in each word: with more words and fewer
+    bits in each, copies that differ in one of seven bits still meet. Where many
+    meet in one variant, they are linked to the first and to the next.
+    """
+    half, count = radius // 2, nodes.count()
+    bits = 4
+    while count * (1 + bits + bits * (bits - 1) // 2) >> bits > PREFIX_ROWS and bits < 20:
+        bits += 1
+    flips = masks(bits, half).astype(np.uint32)
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 2048):
+            n = batch.num_rows
+            words = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u4").reshape(n, TABLES)
+            prefix = (words >> np.uint32(WORD_BITS - bits))[:, :, None] ^ flips[None, None, :]
+            key = prefix.astype(np.int64) | (np.arange(TABLES) << bits)[None, :, None]
+            owner = pa.array(np.repeat(np.arange(n), TABLES * len(flips)))
+            yield pa.RecordBatch.from_arrays([pa.array(key.ravel().astype(np.int32)), batch.column(0).take(owner), batch.column(1).take(owner)], ["prefix", "node", "sketch"])
+
+    def meet(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        table = table.sort_by("node")
+        node = table.column("node").to_numpy()
+        words = np.frombuffer(b"".join(table.column("sketch").to_pylist()), "<u4").reshape(-1, TABLES)
+        number, prefix = divmod(key[0].as_py(), 1 << bits)
+        a, b = collisions(np.ascontiguousarray(words[:, number]), prefix, bits, half)
+        near = np.zeros(len(a), bool)
+        for at in range(0, len(a), 1 << 18):
+            part = slice(at, at + (1 << 18))
+            near[part] = np.bitwise_count(words[a[part]] ^ words[b[part]]).sum(axis=1, dtype=np.int64) <= most_bits
+        return pa.table({"src": node[a[near]], "dst": node[b[near]]})
+
+    rows = nodes.select("node", "sketch").mapInArrow(spread, "prefix int, node long, sketch binary")
+    return rows.groupBy("prefix").applyInArrow(meet, "src long, dst long").distinct()
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(doc_id, text_hash, component, component_id) for each row: groups of texts whose shingles are similar.
+
+    Texts of the same words are one class, and classes are linked if the Jaccard
+    similarity of their distinct ``width``-word shingles is ``similarity`` or
+    more: candidates meet by ball hashing in one of the words of a longer
+    SimHash, and their shingles decide exactly. At the least similarity, one
+    pair in fifty meets in no word; large groups are linked around their first
+    members, not in all pairs. Odd rows are treated as by ``near_duplicates``;
+    texts without words are one class, linked to no other.
+    """
+    keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).cast("binary").alias("raw"))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = [shingles(x, width) for x in batch.column(2).to_pylist()]
+            node = np.array([n for n, _ in found], np.uint64).view(np.int64)
+            sketches = [sketch(h) if len(h) else None for _, h in found]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(node), pa.array(sketches, pa.binary())], ["doc_id", "text_hash", "node", "sketch"])
+
+    rows = stored(keyed.mapInArrow(read, "doc_id long, text_hash long, node long, sketch binary"))
+    first = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("text_hash").alias("hash"))
+    nodes = stored(rows.groupBy("node").agg(F.min("sketch").alias("sketch"), F.min(first).alias("r")))
+    links = stored(similar_links(nodes.where("sketch is not null")))
+    met = links.select(F.col("src").alias("node")).union(links.select("dst")).distinct()
+    chosen = stored(nodes.join(met, "node", "left_semi").select("node", "r.*"))
+    if chosen.count() <= BROADCAST_ROWS:
+        chosen = F.broadcast(chosen)
+
+    def read_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            sets = pa.array([shingles(x, width)[1].view(np.int64) for x in batch.column(1).to_pylist()], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), sets], ["node", "items"])
+
+    texts = keyed.select(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("text_hash").alias("hash"), "raw")
+    sets = texts.join(chosen, ["none", "id", "hash"]).select("node", "raw").mapInArrow(read_sets, "node long, items array<long>")
+    sets = stored(sets.dropDuplicates(["node"]))
+    a, b = sets.select(F.col("node").alias("src"), F.col("items").alias("x")), sets.select(F.col("node").alias("dst"), F.col("items").alias("y"))
+    both = links.join(a, "src").join(b, "dst").select("src", "dst", F.size(F.array_intersect("x", "y")).alias("n"), (F.size("x") + F.size("y")).alias("total"))
+    verified = both.where(F.col("n") >= similarity * (F.col("total") - F.col("n"))).select("src", "dst")
+    roots = stored(connected_components(verified))
+    nodes = nodes.select("node", F.when(~F.col("r.none"), F.col("r.id")).alias("least")).join(roots, "node", "left").withColumn("component", F.coalesce("root", "node"))
+    named = nodes.groupBy("component").agg(F.min("least").alias("component_id"))
+    classes = stored(nodes.join(named, "component").select("node", "component", "component_id"))
+    return rows.join(classes, "node").select("doc_id", "text_hash", "component", "component_id")

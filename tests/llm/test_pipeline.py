@@ -32,8 +32,7 @@ def test_near_duplicates_leave_one(spark):
     docs = odd_docs(spark).where("doc_id is null or doc_id <> 6").union(real(spark, "documents"))
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     rows.sort(key=lambda r: (r[0] is None, r[0] or 0))
-    fps = [test_simhash.slow_fingerprint(t) for _, t in rows]
-    roots = test_simhash.slow_components(list(enumerate(fps)))
+    roots = test_simhash.slow_groups([t for _, t in rows])
     left = p.drop_near_duplicates(spark, docs, SF).collect()
     assert len(left) == len(set(roots))
     assert sorted(str(r.doc_id) for r in left) == sorted(str(rows[r][0]) for r in set(roots))

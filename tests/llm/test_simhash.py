@@ -86,3 +86,67 @@ def test_components_of_a_path_and_a_star(spark):
     edges = spark.createDataFrame(path + star + [(5, 5)], "src long, dst long")
     found = connected_components(edges).groupBy("root").agg(F.count("*").alias("n")).collect()
     assert {(r.root, r.n) for r in found} == {(0, 121), (1000, 200)}
+
+
+def slow_groups(texts):
+    """Group of each text by the similarity of all pairs of five-word shingle sets."""
+    sets = []
+    for t in texts:
+        lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")
+        w = re.findall(r"[^\x20\x09-\x0D]+", lower)
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else {()})
+    parent = list(range(len(texts)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if len(a & b) >= 0.8 * len(a | b):
+                parent[max(find(i), find(j))] = min(find(i), find(j))
+    return [find(i) for i in range(len(texts))]
+
+
+def grouped(found, key):
+    by = defaultdict(set)
+    for r in found:
+        by[r[key]].add(r.doc_id)
+    return sorted(map(sorted, by.values()))
+
+
+def test_near_copies_of_real_documents(spark):
+    docs = real(spark, "documents", "0.01")
+    rows = docs.collect()
+    want = defaultdict(list)
+    for r, g in zip(rows, slow_groups([r.text for r in rows])):
+        want[g].append(r.doc_id)
+    found = simhash.near_copies(clashing(docs)).collect()
+    assert grouped(found, "component") == sorted(map(sorted, want.values()))
+    assert all(r.component_id == min(x for x in [r.component_id, r.doc_id]) for r in found)
+
+
+def test_near_copies_meet_and_others_do_not(spark):
+    rng = np.random.default_rng(8)
+    rows, want = [], []
+    for k in range(150):
+        words = [f"w{x}" for x in rng.integers(0, 5000, 300)]
+        rows.append(" ".join(words))
+        for changes in (2, 4, 5, 20):  # shingles in common: 290, 280 (0.87), 275 (0.83) and 200 (0.5) or a little more, of 296
+            other = list(words)
+            for at in rng.choice(np.arange(10, 290, 6), changes, replace=False):
+                other[at] = f"x{k}"
+            rows.append(" ".join(other))
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in simhash.near_copies(docs).collect()}
+    near = [found[i] == i - i % 5 for i in range(len(rows)) if i % 5 in (1, 2, 3)]
+    far = [found[i] == i for i in range(len(rows)) if i % 5 == 4]
+    assert sum(near) >= 0.97 * len(near) and all(far)
+
+
+def test_a_large_group_of_near_copies(spark):
+    words = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join([*words[:100], f"own{i}", *words[100:]])) for i in range(1500)]
+    found = simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.component_id for r in found} == {0} and len(found) == 1500
