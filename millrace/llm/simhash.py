@@ -240,12 +240,33 @@ def collisions(words: np.ndarray, prefix: int, prefix_bits: int, half: int, at_o
     return own[key // max(1, len(own))], own[key % max(1, len(own))]
 
 
+def forest(n: int, a: np.ndarray, b: np.ndarray, cost: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The edges a - b that connect as all of them do, the least costs first."""
+    parent = list(range(n))
+
+    def find(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    kept = []
+    order = np.lexsort((b, a, cost))
+    for k, i, j in zip(order.tolist(), a[order].tolist(), b[order].tolist()):
+        i, j = find(i), find(j)
+        if i != j:
+            parent[j] = i
+            kept.append(k)
+    return a[kept], b[kept]
+
+
 def similar_links(nodes: DataFrame, radius: int = 4, most_bits: int = MOST_BITS) -> DataFrame:
     """(src, dst) of nodes (node: long, sketch) that are within ``radius`` bits in one of their words, and ``most_bits`` in all.
 
     Ball hashing as in ``ball_links``, in each word: with more words and fewer
     bits in each, copies that differ in one of seven bits still meet. Where many
-    meet in one variant, they are linked to the first and to the next.
+    meet in one variant, they are linked to the first and to the next; and of a
+    prefix's links, a forest is kept, those of the fewest bits first.
     """
     half, count = radius // 2, nodes.count()
     bits = 4
@@ -268,11 +289,15 @@ def similar_links(nodes: DataFrame, radius: int = 4, most_bits: int = MOST_BITS)
         words = np.frombuffer(b"".join(table.column("sketch").to_pylist()), "<u4").reshape(-1, TABLES)
         number, prefix = divmod(key[0].as_py(), 1 << bits)
         a, b = collisions(np.ascontiguousarray(words[:, number]), prefix, bits, half)
-        near = np.zeros(len(a), bool)
+        bits_apart = np.zeros(len(a), np.int64)
         for at in range(0, len(a), 1 << 18):
             part = slice(at, at + (1 << 18))
-            near[part] = np.bitwise_count(words[a[part]] ^ words[b[part]]).sum(axis=1, dtype=np.int64) <= most_bits
-        return pa.table({"src": node[a[near]], "dst": node[b[near]]})
+            by_word = np.bitwise_count(words[a[part]] ^ words[b[part]]).astype(np.int64)
+            # Pairs that meet in an earlier word are left to its tables.
+            bits_apart[part] = by_word.sum(axis=1) + (by_word[:, :number] <= radius).any(axis=1) * BITS * TABLES
+        near = bits_apart <= most_bits
+        a, b = forest(len(node), a[near], b[near], bits_apart[near])
+        return pa.table({"src": node[a], "dst": node[b]})
 
     rows = nodes.select("node", "sketch").mapInArrow(spread, "prefix int, node long, sketch binary")
     return rows.groupBy("prefix").applyInArrow(meet, "src long, dst long").distinct()
