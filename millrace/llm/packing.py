@@ -19,8 +19,8 @@ from tokenizers import Tokenizer
 
 from .common import kept, slices, stored
 
-#: Distinct words whose ids a Python worker remembers; beyond, it starts anew.
-REMEMBERED = 750_000
+#: Distinct words, last met, whose ids a Python worker remembers; up to as many met before them are kept too.
+REMEMBERED = 250_000
 #: Rows of the offsets table (8 bytes each, and a key) that may be broadcast.
 BROADCAST_ROWS = 500_000
 
@@ -42,6 +42,7 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker for each core
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[number for token, number in vocabulary.items() if token.endswith("</w>")]] = True
@@ -76,12 +77,16 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.known) > REMEMBERED:
-            self.known = {}
+            self.known, self.older = {}, self.known
         words = pc.split_pattern(pa.array(map(self.spaced, texts), pa.large_string()), " ")
         coded = words.values.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
-        self.learn(list(set(distinct).difference(self.known)))
-        found = [self.known[w] for w in distinct]
+        known, older = self.known, self.older
+        fresh = set(distinct).difference(known)
+        # Words that are met again outlast those that are not.
+        known.update((w, older[w]) for w in fresh if w in older)
+        self.learn(list(fresh.difference(older)))
+        found = [known[w] for w in distinct]
         # The ids of all words in turn, gathered from those of the distinct words.
         sizes = np.fromiter((len(x) // 4 for x in found), np.int64, len(found))
         at = coded.indices.to_numpy(zero_copy_only=False)

@@ -115,3 +115,13 @@ def test_word_encoder_against_the_tokenizer():
     texts = ["".join(random.choices(signs, k=random.randrange(40))) for _ in range(4000)]
     for text, ids in zip(texts, encoder.encode(texts)):
         assert tokenizer.encode(text, add_special_tokens=False).ids == ids.tolist(), repr(text)
+
+
+def test_word_encoder_that_remembers_little(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 20)
+    encoder, tokenizer = packing.WordEncoder(PATH), Tokenizer.from_file(PATH)
+    random.seed(6)
+    for _ in range(40):
+        texts = [" ".join(f"word{min(random.randrange(60), random.randrange(60))}" for _ in range(12)) for _ in range(3)]
+        assert [x.tolist() for x in encoder.encode(texts)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(encoder.known) <= 20 + 36 and len(encoder.older) <= 20 + 36
