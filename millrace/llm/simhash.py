@@ -164,13 +164,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-#: Near copies by similarity: words of 32 bits of a longer fingerprint, in each
-#: of which copies may meet; bits of the whole that they may differ in.
-TABLES = 6
-WORD_BITS = 32
-MOST_BITS = 46
-#: Rows that a prefix gathers at most, on average.
-PREFIX_ROWS = 4_000_000
+#: Near copies by similarity: documents whose shingles are counted to tell rare from
+#: common ones, and how many of these are told apart at most.
+SAMPLE_DOCS = 10_000
+COMMON = 200_000
+#: Words of 64 bits of a set's parities.
+PARITIES = 3
+#: Rows of a bucket of prefixes, and of a block of a crowded shingle, on average.
+BUCKET_ROWS = 200_000
+BLOCK_ROWS = 4096
+#: Sets that share a shingle and are compared in all pairs at once; pairs for each row of a block in the
+#: first round, of which each further round has four times as many.
+AT_ONCE_SETS = 32
+ROUND_PAIRS = 2
 BROADCAST_ROWS = 200_000
 
 
@@ -188,119 +194,149 @@ def shingles(raw: bytes | None, width: int) -> tuple[int, np.ndarray]:
     return digest(text, SEED + 1), np.unique(np.array(found, np.uint64))
 
 
-def sketch(hashes: np.ndarray) -> bytes:
-    """SimHash of ``TABLES`` words over distinct shingles, whose hashes are mixed anew for every two words."""
-    bits = []
-    for k in range(TABLES * WORD_BITS // BITS):
-        ones = np.zeros(BITS, np.int64)
-        for at in range(0, len(hashes), 1 << 15):
-            h = (hashes[at : at + (1 << 15)] + np.uint64(k + 1)) * np.uint64(0x9E3779B97F4A7C15)
-            h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-            h ^= h >> np.uint64(32)
-            ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        bits.append(2 * ones > len(hashes))
-    return np.packbits(np.concatenate(bits), bitorder="little").tobytes()
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """Whether an odd number of a set's hashes falls on each of ``PARITIES`` * 64 bits: two sets differ in as many hashes at least as in bits."""
+    odd = np.bincount((hashes % np.uint64(PARITIES * 64)).astype(np.int64), minlength=PARITIES * 64) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
-def collisions(words: np.ndarray, prefix: int, prefix_bits: int, half: int, at_once: int = AT_ONCE) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of indices of words that have a variant within ``half`` bits in common that begins with this prefix.
+def prefix(hashes: np.ndarray, common: np.ndarray, times: np.ndarray, similarity: float) -> np.ndarray:
+    """The rarest hashes of a set, so many that every set of this similarity has one of them among its own.
 
-    Of each set of words with a variant in common, the first is paired with all
-    others and each with the next. Crowded prefixes are split by their next bit.
+    The order is by the number in ``times`` (0 if not in ``common``, which
+    ascends), then by hash: any order does that is the same for all sets.
     """
-    low_bits = WORD_BITS - prefix_bits
-    used = np.bitwise_count((words >> np.uint32(low_bits)) ^ np.uint32(prefix)).astype(np.int64)
-    own = np.flatnonzero(used <= half)
-    words, used = words[own], used[own]
-    makes = [len(masks(low_bits, half - d)) for d in range(half + 1)]
-    if sum(int((used == d).sum()) * m for d, m in enumerate(makes)) > at_once and low_bits > 8:
-        parts = [collisions(words, prefix << 1 | bit, prefix_bits + 1, half, at_once) for bit in (0, 1)]
-        return np.concatenate([own[p[0]] for p in parts]), np.concatenate([own[p[1]] for p in parts])
-    low = words & np.uint32((1 << low_bits) - 1)
-    values, owners = [], []
-    for d in range(half + 1):
-        mine, mask = np.flatnonzero(used == d), masks(low_bits, half - d).astype(np.uint32)
-        values.append((low[mine][:, None] ^ mask[None, :]).ravel())
-        owners.append(np.repeat(mine, len(mask)))
-    value, owner = np.concatenate(values), np.concatenate(owners)
-    ordered = np.sort(value)
-    shared = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
-    if not len(shared):
-        return own[:0], own[:0]
-    place = np.minimum(np.searchsorted(shared, value), len(shared) - 1)
-    hit = shared[place] == value
-    place, owner = place[hit], owner[hit]
-    order = np.lexsort((owner, place))
-    place, owner = place[order], owner[order]
-    begin = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
-    centre = np.repeat(owner[begin], np.diff(np.append(begin, len(place))))
-    same = place[1:] == place[:-1]
-    a, b = np.concatenate((centre, owner[:-1][same])), np.concatenate((owner, owner[1:][same]))
-    key = np.unique(a[a != b].astype(np.int64) * len(own) + b[a != b])
-    return own[key // max(1, len(own))], own[key % max(1, len(own))]
-
-
-def forest(n: int, a: np.ndarray, b: np.ndarray, cost: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The edges a - b that connect as all of them do, the least costs first."""
-    parent = list(range(n))
-
-    def find(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    kept = []
-    order = np.lexsort((b, a, cost))
-    for k, i, j in zip(order.tolist(), a[order].tolist(), b[order].tolist()):
-        i, j = find(i), find(j)
-        if i != j:
-            parent[j] = i
-            kept.append(k)
-    return a[kept], b[kept]
-
-
-def similar_links(nodes: DataFrame, radius: int = 4, most_bits: int = MOST_BITS) -> DataFrame:
-    """(src, dst) of nodes (node: long, sketch) that are within ``radius`` bits in one of their words, and ``most_bits`` in all.
-
-    Ball hashing as in ``ball_links``, in each word: with more words and fewer
-    bits in each, copies that differ in one of seven bits still meet. Where many
-    meet in one variant, they are linked to the first and to the next; and of a
-    prefix's links, a forest is kept, those of the fewest bits first.
+    place = np.minimum(np.searchsorted(common, hashes), max(0, len(common) - 1))
+    count = np.where(common[place] == hashes, times[place], 0) if len(common) else np.zeros(len(hashes), np.int64)
+    return hashes[np.lexsort((hashes, count))][: len(hashes) - math.ceil(similarity * len(hashes) - 1e-9) + 1]
+
+
+def possible(n: np.ndarray, bits: np.ndarray, a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether sets of these sizes and parities can be so similar; never denied to two that are."""
+    lengths = np.minimum(n[a], n[b]) >= similarity * np.maximum(n[a], n[b]) - 1e-9
+    apart = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64)
+    return lengths & (apart <= (1 - similarity) / (1 + similarity) * (n[a] + n[b]) + 1e-9)
+
+
+def first_pairs(key: np.ndarray, n: np.ndarray, bits: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of rows (a, b) of the same key, keys ascending, and the rows of crowded keys.
+
+    All possible pairs, but of crowded keys only those of the middle row with
+    all and of each with the next few; the others are left to ``more_pairs``.
+    """
+    begin = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
+    size = np.diff(np.append(begin, len(key)))
+    crowded = np.repeat(size > AT_ONCE_SETS, size)
+    middle = np.repeat(begin + size // 2, size)[crowded]
+    found = [(np.minimum(middle, np.flatnonzero(crowded)), np.maximum(middle, np.flatnonzero(crowded)))]
+    left = np.flatnonzero(np.repeat(size > 1, size))
+    for offset in range(1, AT_ONCE_SETS):
+        left = left[left + offset < len(key)]
+        left = left[key[left] == key[left + offset]]
+        if offset > AT_ONCE_SETS // 4:
+            left = left[~crowded[left]]
+        found.append((left, left + offset))
+    a, b = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+    parts = [slice(at, at + (1 << 18)) for at in range(0, len(a), 1 << 18)]
+    fine = np.concatenate([possible(n, bits, a[x], b[x], similarity) & (a[x] != b[x]) for x in parts] or [np.zeros(0, bool)])
+    return a[fine], b[fine], np.flatnonzero(crowded)
+
+
+def more_pairs(root: np.ndarray, side: np.ndarray, n: np.ndarray, bits: np.ndarray, similarity: float, done: int, most: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Possible pairs of rows (ascending n) of different roots, and of different sides if there are two, that are more than ``done`` rows apart; and how far apart all of them are found.
+
+    Ends after ``most`` pairs: for rows that are left, roots can be the same in the next round.
     """
-    half, count = radius // 2, nodes.count()
-    bits = 4
-    while count * (1 + bits + bits * (bits - 1) // 2) >> bits > PREFIX_ROWS and bits < 20:
-        bits += 1
-    flips = masks(bits, half).astype(np.uint32)
+    values, counts = np.unique(root, return_counts=True)
+    out = np.flatnonzero(root != values[counts.argmax()])
+    two = len(np.unique(side)) > 1
+    links_a, links_b, total = [out[:0]], [out[:0]], 0
+    last = int((np.searchsorted(n, n / similarity + 1e-6, side="right") - 1 - np.arange(len(n))).max(initial=0))
+    for offset in range(done + 1, last + 1):
+        lower = np.concatenate((out[out + offset < len(n)], out[out >= offset] - offset))
+        lower = lower[root[lower] != root[lower + offset]]
+        if two:
+            lower = lower[side[lower] != side[lower + offset]]
+        lower = np.unique(lower[possible(n, bits, lower, lower + offset, similarity)])
+        links_a.append(lower)
+        links_b.append(lower + offset)
+        total += len(lower)
+        if total > most:
+            return np.concatenate(links_a), np.concatenate(links_b), offset
+    return np.concatenate(links_a), np.concatenate(links_b), len(n)
+
+
+BITS_OF = [f"b{i}" for i in range(PARITIES)]
+
+
+def columns_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return table.column("node").to_numpy(), table.column("n").to_numpy().astype(np.int64), np.stack([table.column(b).to_numpy().view(np.uint64) for b in BITS_OF], axis=1)
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 2048):
-            n = batch.num_rows
-            words = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u4").reshape(n, TABLES)
-            prefix = (words >> np.uint32(WORD_BITS - bits))[:, :, None] ^ flips[None, None, :]
-            key = prefix.astype(np.int64) | (np.arange(TABLES) << bits)[None, :, None]
-            owner = pa.array(np.repeat(np.arange(n), TABLES * len(flips)))
-            yield pa.RecordBatch.from_arrays([pa.array(key.ravel().astype(np.int32)), batch.column(0).take(owner), batch.column(1).take(owner)], ["prefix", "node", "sketch"])
+
+def first_links(nodes: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """(src, dst): pairs of nodes that can be similar; and (key, node, n, parities): rows of shingles too crowded for all pairs.
+
+    Two sets of this similarity share a shingle of their prefixes, which are
+    dealt out by it.
+    """
+    rows = nodes.agg(F.sum(F.size("prefix"))).first()[0] or 0
+    buckets = max(8, math.ceil(rows / BUCKET_ROWS))
+
+    def meet(_: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        table = table.sort_by([("key", "ascending"), ("n", "ascending"), ("node", "ascending")])
+        key = table.column("key").to_numpy()
+        shared = np.zeros(len(key), bool)
+        shared[1:] = key[1:] == key[:-1]
+        shared[:-1] |= shared[1:]
+        table = table.filter(pa.array(shared))
+        key, (node, n, bits) = table.column("key").to_numpy(), columns_of(table)
+        a, b, crowded = first_pairs(key, n, bits, similarity)
+        pairs = np.unique(np.stack((np.minimum(node[a], node[b]), np.maximum(node[a], node[b])), axis=1), axis=0)
+        links = pa.table({"key": pa.nulls(len(pairs), pa.int64()), "node": pairs[:, 0], "dst": pairs[:, 1]})
+        return pa.concat_tables([links, table.take(pa.array(crowded)).drop_columns(["bucket"])], promote_options="default").select(kinds)
+
+    kinds = ["key", "node", "dst", "n", *BITS_OF]
+    spread = nodes.select(F.explode("prefix").alias("key"), "node", "n", *BITS_OF).withColumn("bucket", F.pmod("key", F.lit(buckets)).cast("int"))
+    schema = "key long, node long, dst long, n int, " + ", ".join(f"{b} long" for b in BITS_OF)
+    found = stored(spread.groupBy("bucket").applyInArrow(meet, schema))
+    links = found.where("key is null").select(F.col("node").alias("src"), "dst").distinct()
+    return links, found.where("key is not null").drop("dst")
+
+
+def more_links(crowded: DataFrame, roots: DataFrame | None, done: DataFrame | None, similarity: float, pairs: int) -> tuple[DataFrame, DataFrame]:
+    """(src, dst): further possible pairs of crowded shingles, of nodes that no verified links join yet; and (key, x, y, done): how far each block of rows is through.
+
+    A crowded shingle's rows are split in blocks, which meet in pairs.
+    """
+    if roots is not None:
+        crowded = crowded.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    else:
+        crowded = crowded.withColumn("root", F.col("node"))
+    open_keys = crowded.groupBy("key").agg(F.count("*").alias("rows"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    rows = crowded.join(open_keys.select("key", F.ceil(F.col("rows") / BLOCK_ROWS).cast("int").alias("blocks")), "key")
+    rows = rows.withColumn("side", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.withColumn("x", F.least("side", "other")).withColumn("y", F.greatest("side", "other"))
+    if done is not None:
+        rows = rows.join(done, ["key", "x", "y"])
+    else:
+        rows = rows.withColumn("done", F.lit(0))
 
     def meet(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        table = table.sort_by("node")
-        node = table.column("node").to_numpy()
-        words = np.frombuffer(b"".join(table.column("sketch").to_pylist()), "<u4").reshape(-1, TABLES)
-        number, prefix = divmod(key[0].as_py(), 1 << bits)
-        a, b = collisions(np.ascontiguousarray(words[:, number]), prefix, bits, half)
-        bits_apart = np.zeros(len(a), np.int64)
-        for at in range(0, len(a), 1 << 18):
-            part = slice(at, at + (1 << 18))
-            by_word = np.bitwise_count(words[a[part]] ^ words[b[part]]).astype(np.int64)
-            # Pairs that meet in an earlier word are left to its tables.
-            bits_apart[part] = by_word.sum(axis=1) + (by_word[:, :number] <= radius).any(axis=1) * BITS * TABLES
-        near = bits_apart <= most_bits
-        a, b = forest(len(node), a[near], b[near], bits_apart[near])
-        return pa.table({"src": node[a], "dst": node[b]})
-
-    rows = nodes.select("node", "sketch").mapInArrow(spread, "prefix int, node long, sketch binary")
-    return rows.groupBy("prefix").applyInArrow(meet, "src long, dst long").distinct()
+        table = table.sort_by([("n", "ascending"), ("node", "ascending")])
+        (node, n, bits), root, side = columns_of(table), table.column("root").to_numpy(), table.column("side").to_numpy()
+        a, b, at = more_pairs(root, side, n, bits, similarity, table.column("done")[0].as_py(), pairs * len(node))
+        if at < len(node):
+            a, b = np.append(a, -1), np.append(b, -1)
+        src, dst = node[a], node[b]
+        through = np.full(len(a), -1)
+        if at < len(node):
+            through[-1] = at
+        k, x, y = (v.as_py() for v in key)
+        return pa.table({"key": np.full(len(a), k), "x": np.full(len(a), x, np.int32), "y": np.full(len(a), y, np.int32), "src": np.minimum(src, dst), "dst": np.maximum(src, dst), "done": through.astype(np.int32)})
+
+    found = stored(rows.select("key", "x", "y", "node", "n", *BITS_OF, "root", "side", "done").groupBy("key", "x", "y").applyInArrow(meet, "key long, x int, y int, src long, dst long, done int"))
+    return found.where("done < 0").select("src", "dst").distinct(), found.where("done >= 0").select("key", "x", "y", "done")
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -308,29 +344,42 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Texts of the same words are one class, and classes are linked if the Jaccard
     similarity of their distinct ``width``-word shingles is ``similarity`` or
-    more: candidates meet by ball hashing in one of the words of a longer
-    SimHash, and their shingles decide exactly. At the least similarity, one
-    pair in fifty meets in no word; large groups are linked around their first
-    members, not in all pairs. Odd rows are treated as by ``near_duplicates``;
-    texts without words are one class, linked to no other.
+    more. No such pair is missed: both have one of their rarest shingles in
+    common, and bounds from sizes and parities only drop pairs that cannot be
+    similar. Of shingles that many texts share, pairs are verified in rounds,
+    and only pairs that verified links join already are left out. Odd rows are
+    treated as by ``near_duplicates``; texts without words are one class,
+    linked to no other.
     """
     keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).cast("binary").alias("raw"))
 
+    def read_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = [shingles(x, width)[1] for x in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], ["item"])
+
+    share = min(1.0, SAMPLE_DOCS / max(1, keyed.count()))
+    sample = keyed.where(F.pmod("text_hash", F.lit(1_000_000)) < int(1_000_000 * share)).dropDuplicates(["text_hash"]).select("raw")
+    counted = sample.mapInArrow(read_shingles, "item long").groupBy("item").agg(F.count("*").alias("times")).where("times > 3")
+    counted = counted.orderBy(F.desc("times"), "item").limit(COMMON).toArrow()
+    common, times = counted.column("item").to_numpy().view(np.uint64), counted.column("times").to_numpy()
+    order = np.argsort(common)
+    common, times = common[order], times[order]
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             found = [shingles(x, width) for x in batch.column(2).to_pylist()]
             node = np.array([n for n, _ in found], np.uint64).view(np.int64)
-            sketches = [sketch(h) if len(h) else None for _, h in found]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(node), pa.array(sketches, pa.binary())], ["doc_id", "text_hash", "node", "sketch"])
+            rarest = pa.array([prefix(h, common, times, similarity).view(np.int64) if len(h) else None for _, h in found], pa.list_(pa.int64()))
+            bits = np.stack([parities(h) for _, h in found])
+            sizes = pa.array([len(h) for _, h in found], pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(node), sizes, *map(pa.array, bits.T.copy()), rarest], ["doc_id", "text_hash", "node", "n", *BITS_OF, "prefix"])
 
-    rows = stored(keyed.mapInArrow(read, "doc_id long, text_hash long, node long, sketch binary"))
+    schema = "doc_id long, text_hash long, node long, n int, " + ", ".join(f"{b} long" for b in BITS_OF) + ", prefix array<long>"
+    rows = stored(keyed.mapInArrow(read, schema))
     first = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("text_hash").alias("hash"))
-    nodes = stored(rows.groupBy("node").agg(F.min("sketch").alias("sketch"), F.min(first).alias("r")))
-    links = stored(similar_links(nodes.where("sketch is not null")))
-    met = links.select(F.col("src").alias("node")).union(links.select("dst")).distinct()
-    chosen = stored(nodes.join(met, "node", "left_semi").select("node", "r.*"))
-    if chosen.count() <= BROADCAST_ROWS:
-        chosen = F.broadcast(chosen)
+    nodes = stored(rows.groupBy("node").agg(F.min(first).alias("r")))
+    classes = rows.where("n > 0").dropDuplicates(["node"])
 
     def read_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -338,12 +387,30 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield pa.RecordBatch.from_arrays([batch.column(0), sets], ["node", "items"])
 
     texts = keyed.select(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("text_hash").alias("hash"), "raw")
-    sets = texts.join(chosen, ["none", "id", "hash"]).select("node", "raw").mapInArrow(read_sets, "node long, items array<long>")
-    sets = stored(sets.dropDuplicates(["node"]))
-    a, b = sets.select(F.col("node").alias("src"), F.col("items").alias("x")), sets.select(F.col("node").alias("dst"), F.col("items").alias("y"))
-    both = links.join(a, "src").join(b, "dst").select("src", "dst", F.size(F.array_intersect("x", "y")).alias("n"), (F.size("x") + F.size("y")).alias("total"))
-    verified = both.where(F.col("n") >= similarity * (F.col("total") - F.col("n"))).select("src", "dst")
-    roots = stored(connected_components(verified))
+
+    def verified(links: DataFrame) -> DataFrame:
+        links = stored(links)
+        met = links.select(F.col("src").alias("node")).union(links.select("dst")).distinct()
+        chosen = stored(nodes.join(met, "node", "left_semi").select("node", "r.*"))
+        if chosen.count() <= BROADCAST_ROWS:
+            chosen = F.broadcast(chosen)
+        sets = texts.join(chosen, ["none", "id", "hash"]).select("node", "raw").mapInArrow(read_sets, "node long, items array<long>")
+        sets = stored(sets.dropDuplicates(["node"]))
+        a, b = sets.select(F.col("node").alias("src"), F.col("items").alias("x")), sets.select(F.col("node").alias("dst"), F.col("items").alias("y"))
+        both = links.join(a, "src").join(b, "dst").select("src", "dst", F.size(F.array_intersect("x", "y")).alias("n"), (F.size("x") + F.size("y")).alias("total"))
+        return stored(both.where(F.col("n") >= similarity * (F.col("total") - F.col("n"))).select("src", "dst"))
+
+    links, crowded = first_links(classes, similarity)
+    roots = stored(connected_components(verified(links)))
+    done, pairs = None, ROUND_PAIRS
+    while not (crowded.isEmpty() if done is None else done.isEmpty()):
+        links, done = more_links(crowded, roots, done, similarity, pairs)
+        pairs *= 4
+        if links.isEmpty():
+            continue
+        found = verified(links)
+        if not found.isEmpty():
+            roots = stored(connected_components(found.union(roots.select(F.col("node").alias("src"), F.col("root").alias("dst")))))
     nodes = nodes.select("node", F.when(~F.col("r.none"), F.col("r.id")).alias("least")).join(roots, "node", "left").withColumn("component", F.coalesce("root", "node"))
     named = nodes.groupBy("component").agg(F.min("least").alias("component_id"))
     classes = stored(nodes.join(named, "component").select("node", "component", "component_id"))

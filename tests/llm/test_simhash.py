@@ -150,3 +150,21 @@ def test_a_large_group_of_near_copies(spark):
     rows = [(i, " ".join([*words[:100], f"own{i}", *words[100:]])) for i in range(1500)]
     found = simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.component_id for r in found} == {0} and len(found) == 1500
+
+
+def test_a_template_family_around_the_least_similarity(spark):
+    """Copies of one text, each with own words in some of 24 places: about half of all pairs are similar enough."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for family in range(6):
+        words = [f"f{family}w{i}" for i in range(240)]
+        for i in range(150):
+            own = list(words)
+            for at in rng.choice(24, rng.integers(2, 8), replace=False):
+                own[at * 10 + 3] = f"own{i}"
+            rows.append(" ".join(own))
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    want = defaultdict(list)
+    for i, g in enumerate(slow_groups(rows)):
+        want[g].append(i)
+    assert grouped(simhash.near_copies(docs).collect(), "component") == sorted(want.values())
