@@ -168,3 +168,22 @@ def test_a_template_family_around_the_least_similarity(spark):
     for i, g in enumerate(slow_groups(rows)):
         want[g].append(i)
     assert grouped(simhash.near_copies(docs).collect(), "component") == sorted(want.values())
+
+
+def test_crowded_shingles_in_rounds_and_blocks(spark, monkeypatch):
+    """Few pairs a round, small blocks, and pairs of one family in groups of their own: as all pairs say."""
+    monkeypatch.setattr(simhash, "AT_ONCE_SETS", 4)
+    monkeypatch.setattr(simhash, "ROUND_PAIRS", 1)
+    monkeypatch.setattr(simhash, "BLOCK_ROWS", 30)
+    rng = np.random.default_rng(9)
+    rows = []
+    for i in range(80):
+        own = [f"w{j}" for j in range(100)]
+        for at in rng.choice(10, rng.integers(2, 4), replace=False):
+            own[at * 10 + 3] = f"own{rng.integers(0, 12)}"
+        rows.append(" ".join(own))
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    want = defaultdict(list)
+    for i, g in enumerate(slow_groups(rows)):
+        want[g].append(i)
+    assert grouped(simhash.near_copies(docs).collect(), "component") == sorted(want.values())
