@@ -20,7 +20,7 @@ BLOCK_DIMS = 2
 ROUNDS = 6
 #: The inner products that matter, as a share of the norms' product: the larger, the more a parallel error weighs.
 THRESHOLD = 0.2
-#: Rows and queries of a block, and candidates of a block that are scored exactly.
+#: Rows and queries of a block, and candidates of a block that are scored exactly at first.
 BLOCK_ROWS = 16_384
 BLOCK_QUERIES = 1024
 POOL = 512
@@ -127,9 +127,25 @@ def best(score: np.ndarray, k: int) -> np.ndarray:
     return np.sort(np.concatenate((above, np.flatnonzero(score == least)[: k - len(above)])))
 
 
+def residuals(quantiser: Quantiser, vectors: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """How far from a vector's inner product with a query of length 1 that of its code can be, rounding of the scan included."""
+    blocks = len(quantiser.centres)
+    both = np.stack((codes & 15, codes >> 4), axis=2).reshape(len(codes), -1)[:, :blocks]
+    off = np.zeros(len(codes))
+    for at in range(0, len(codes), 2048):
+        part = slice(at, at + 2048)
+        off[part] = np.linalg.norm(quantiser.padded(vectors[part], blocks) - quantiser.decoded(both[part]), axis=(1, 2))
+    return off + 1e-5 * (off + np.linalg.norm(vectors, axis=1))
+
+
 def scan(quantiser: Quantiser, ids: np.ndarray, vectors: np.ndarray, codes: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, pool: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(query, nearest ids, scores): a table scan of the codes picks ``pool`` candidates, whose exact scores decide. ids ascend."""
+    """(query, nearest ids, scores): a table scan of the codes picks ``pool`` candidates, whose exact scores decide. ids ascend.
+
+    Other rows whose code score and residual allow a score as good as the k-th
+    of these are scored exactly too, so that none of the nearest is missed.
+    """
     columns = np.ascontiguousarray(codes.T)
+    off = residuals(quantiser, vectors, codes)
     for query, q in zip(query_ids.tolist(), queries):
         rough = np.zeros(len(ids), np.float32)
         for table, column in zip(quantiser.tables(q), columns):
@@ -140,6 +156,16 @@ def scan(quantiser: Quantiser, ids: np.ndarray, vectors: np.ndarray, codes: np.n
         at = best(rough, pool)
         at = at[ids[at] != query]
         exact = inner(vectors[at], q)
+        if len(ids) > pool and k > 0:
+            length = np.linalg.norm(q)
+            least = np.partition(exact, len(exact) - k)[len(exact) - k] if len(exact) >= k else -np.inf
+            may = rough + length * off >= least
+            may[at] = False
+            more = np.flatnonzero(may)
+            more = more[ids[more] != query]
+            # The fast product differs from the exact score in rounding alone.
+            more = more[vectors[more] @ q >= least - 1e-9 * length * np.linalg.norm(vectors[more], axis=1)]
+            at, exact = np.concatenate((at, more)), np.concatenate((exact, inner(vectors[more], q)))
         order = np.lexsort((ids[at], -exact))[:k]
         yield query, ids[at][order], exact[order]
 
@@ -158,8 +184,9 @@ def nearest(table: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_i
     Codebooks are fitted on ``training_rows`` vectors, chosen by a hash of their
     ids; every vector is encoded. Queries meet rows in a grid of blocks, which
     are bounded in size: in each, a scan of the 4-bit codes picks ``pool``
-    candidates for each query, of which exact scores keep ``k``; the blocks'
-    best are merged. Ties go to the smaller id, also in the scan.
+    candidates for each query, and all others that the codes' errors leave in
+    question; exact scores keep ``k`` of them, and the blocks' best are merged.
+    Ties go to the smaller id, also in the scan.
 
     Vectors that are null, zero, or hold null or non-finite components take no
     part, nor do rows without id or of another length than most vectors'. Rows

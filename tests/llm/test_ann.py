@@ -91,3 +91,19 @@ def test_anisotropic_loss_goes_down():
 
     losses = [loss(ann.Quantiser.fit(x, rounds=k)) for k in (0, 1, 6)]
     assert losses[0] > losses[1] > losses[2]
+
+
+def test_nearest_among_many_near_copies(spark):
+    """A third of the rows have almost the same code: more than the pool holds."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(3000, 64))
+    for i, noise in zip(range(0, 3000, 3), np.tile([0.0001, 0.001, 0.01, 0.1], 250)):
+        x[i] = x[0] + rng.normal(size=64) * noise * np.linalg.norm(x[0]) / 8
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    score = x[::20] @ x.T
+    score[np.arange(150), np.arange(0, 3000, 20)] = -np.inf
+    want = {20 * i: set(np.argsort(-row)[:20].tolist()) for i, row in enumerate(score)}
+    got = {q: set() for q in want}
+    for r in ann.nearest(table, pool=128).collect():
+        got[r.query_id].add(r.vec_id)
+    assert got == want
