@@ -170,6 +170,17 @@ def test_a_template_family_around_the_least_similarity(spark):
     assert grouped(simhash.near_copies(docs).collect(), "component") == sorted(want.values())
 
 
+def test_short_texts_at_the_least_similarity(spark):
+    """Eight words and one more: four of five shingles in common, exactly the least similarity."""
+    rng = np.random.default_rng(6)
+    rows = []
+    for k in range(400):
+        words = [f"w{x}" for x in rng.integers(0, 100_000, 8)]
+        rows += [" ".join(words), " ".join([*words, f"end{k}"])]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in simhash.near_copies(docs).collect()} == {i: i - i % 2 for i in range(800)}
+
+
 def test_crowded_shingles_in_rounds_and_blocks(spark, monkeypatch):
     """Few pairs a round, small blocks, and pairs of one family in groups of their own: as all pairs say."""
     monkeypatch.setattr(simhash, "AT_ONCE_SETS", 4)
