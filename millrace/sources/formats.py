@@ -12,9 +12,14 @@ from .tables import Tables
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new path in the folder of ``spark.checkpoint.dir``, or, where that is unset, in a temporary one. Deleted when the JVM ends."""
+    """A new path in the folder that driver and executors share, named in ``spark.checkpoint.dir``. Deleted when the JVM ends.
+
+    Where that is unset, a local master gets a temporary folder, and any other an error.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="millrace-")
         spark.conf.set("spark.checkpoint.dir", base)
     path = f"{base.rstrip('/')}/millrace-{uuid.uuid4().hex}"
