@@ -3,45 +3,29 @@
 from __future__ import annotations
 
 import sys
-import tempfile
 import types
-import uuid
 from collections.abc import Callable, Iterator
 from typing import Any
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.formats import scratch
+
 #: Rows that the Python functions handle at once, so that their copies of the
 #: texts of an Arrow batch stay small.
 SLICE = 128
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A new path in the folder that driver and executors share.
-
-    It is the one named in ``spark.checkpoint.dir``; only where that is unset
-    (tests in local mode), a temporary folder. Deleted when the JVM ends.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        base = tempfile.mkdtemp(prefix="millrace-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    path = f"{base.rstrip('/')}/millrace-{uuid.uuid4().hex}"
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return path
-
-
 def stored(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """Writes ``df`` as Parquet to the shared folder and reads it back.
 
     Cuts the lineage: a lost executor costs no recomputation of what is stored.
     """
     spark = df.sparkSession
-    path = shared_dir(spark)
+    path = scratch(spark)
     writer = df.write.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(partition_by)

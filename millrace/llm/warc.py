@@ -16,7 +16,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_dir, slices, stored
+from ..sources.formats import scratch
+from .common import slices, stored
 
 #: Payloads from this size on are written once.
 LEAST_BYTES = 1000
@@ -91,7 +92,7 @@ def write(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
     twice leaves nothing that is read. An empty table gives no archives.
     """
     spark = pages.sparkSession
-    folder = folder or shared_dir(spark)
+    folder = folder or scratch(spark)
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col).cast("binary"), F.lit(b"")).alias("html"))
     rows = rows.withColumn("digest", F.when(F.length("html") >= LEAST_BYTES, F.sha1("html")))
     large = rows.where("digest is not null").groupBy("digest", F.length("html").alias("size")).agg(F.max("page_id").alias("first"), F.count("*").alias("n"))

@@ -1,5 +1,7 @@
 import re
 
+import pytest
+
 from millrace.llm import urlfilter
 
 from .odd import clashing, real
@@ -34,7 +36,20 @@ def test_parts_and_rules(spark):
         assert (r.host, r.path) == parts(URLS[r.page_id])
         rule = slow_rule(r.host, r.path)
         assert r.rule == (rule and rule[0])
-        assert r.verdict == (rule[1] if rule else "block" if r.score >= 0.5 else "allow")
+        assert rule or r.verdict in ("allow", "block")
+        assert not rule or r.verdict == rule[1]
+    scores = {"allow": [0.0], "block": [1.0]}
+    for r in found:
+        if r.rule is None:
+            scores[r.verdict].append(r.score)
+            assert r.host or r.path or r.verdict == "allow"
+    assert max(scores["allow"]) < min(scores["block"])
+    half = urlfilter.filtered(pages, threshold=0.5).where("rule is null").collect()
+    assert all((r.verdict == "block") == (r.score >= 0.5) for r in half)
+
+
+#: The names of hosts in the test pages that a url filter has to block; all others are syllables.
+BAD = ("spam-farm", "cheap-pills", "free-bets", "casino-win", "adult-x", "ads-track")
 
 
 def test_real_pages(spark):
@@ -42,14 +57,41 @@ def test_real_pages(spark):
     urls = {r.page_id: r.url for r in real(spark, "pages", "0.1").collect()}
     assert all((r.host, r.path) == parts(urls[r.page_id]) for r in found)
     free = [r for r in found if r.rule is None]
-    right = sum((r.verdict == "block") == any(name in r.host for name in ("spam-farm", "cheap-pills", "free-bets")) for r in free)
-    assert right >= 0.99 * len(free)
+    bad = [r for r in free if any(name in r.host for name in BAD)]
+    plain = [r for r in free if not any(name in r.host for name in BAD)]
+    assert len(bad) > 50 and len(plain) > 1000
+    assert sum(r.verdict == "block" for r in bad) >= 0.99 * len(bad)
+    assert sum(r.verdict == "allow" for r in plain) >= 0.99 * len(plain)
+
+
+def test_labelled_urls_are_independent_of_the_pages(spark):
+    own = {parts(u)[0] for u, _ in urlfilter.made_urls()}
+    assert not own & {parts(r.url)[0] for r in real(spark, "pages", "0.1").collect()}
+
+
+def encoded(urls):
+    return [tuple(x.encode() for x in parts(u)) for u in urls]
 
 
 def test_unseen_urls():
-    model = urlfilter.Classifier([u.encode() for u, _ in urlfilter.seed_urls()], [y for _, y in urlfilter.seed_urls()])
-    bad, good = model.scores([b"discount-pills-casino.example.com/en/1", b"www.cheap-viagra.example.net/buy"]), model.scores([b"www.botany.example.org/en/articles", b"news.village.example.com/en/council"])
-    assert bad.min() > 0.5 > good.max()
+    made = urlfilter.made_urls()
+    model, least = urlfilter.trained(encoded(u for u, _ in made), [y for _, y in made])
+    bad = ["http://discount-pills-casino.example.com/en/1", "https://www.cheap-viagra.example.net/buy", "http://m.poker-4u.example.org/"]
+    good = ["http://www.botany.example.org/en/articles", "https://news.village.example.com/en/council", "https://m.oriole.example.net/"]
+    assert model.scores(encoded(bad)).min() > least > model.scores(encoded(good)).max()
+    fresh = urlfilter.made_urls(500, seed=12)
+    blocked = model.scores(encoded(u for u, _ in fresh)) >= least
+    assert sum(b == bool(y) for b, (_, y) in zip(blocked.tolist(), fresh)) >= 0.97 * len(fresh)
+
+
+def test_hosts_and_paths_share_no_feature():
+    host, path = urlfilter.grams([b"casino"], 1)[1], urlfilter.grams([b"casino"], 2)[1]
+    assert not set(host.tolist()) & set(path.tolist())
+
+
+def test_too_many_rules_or_urls(spark):
+    with pytest.raises(ValueError):
+        urlfilter.filtered(real(spark, "pages"), labelled=[("http://a.com/", 1)] * (urlfilter.TRAINING_ROWS + 1))
 
 
 def test_empty_table(spark):
