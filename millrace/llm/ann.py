@@ -8,9 +8,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.formats import scratch
 from .common import slices, stored
 
 #: Vectors that the codebooks are fitted on at most (in expectation).
@@ -20,9 +22,13 @@ BLOCK_DIMS = 2
 ROUNDS = 6
 #: The inner products that matter, as a share of the norms' product: the larger, the more a parallel error weighs.
 THRESHOLD = 0.2
-#: Rows and queries of a block, and candidates of a block that are scored exactly at first.
+#: Rows whose codes are scanned at once; queries that all tasks hold at once; rows of a task when the vectors are encoded.
 BLOCK_ROWS = 16_384
-BLOCK_QUERIES = 1024
+WAVE_QUERIES = 16_384
+PART_ROWS = 65_536
+#: One row in so many is scanned first, for the least score that each query's neighbours must have.
+PROBE = 16
+#: Candidates that are scored exactly at first, where no such score is known.
 POOL = 512
 
 
@@ -138,109 +144,146 @@ def residuals(quantiser: Quantiser, vectors: np.ndarray, codes: np.ndarray) -> n
     return off + 1e-5 * (off + np.linalg.norm(vectors, axis=1))
 
 
-def scan(quantiser: Quantiser, ids: np.ndarray, vectors: np.ndarray, codes: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, pool: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(query, nearest ids, scores): a table scan of the codes picks ``pool`` candidates, whose exact scores decide. ids ascend.
-
-    Other rows whose code score and residual allow a score as good as the k-th
-    of these are scored exactly too, so that none of the nearest is missed.
-    """
-    columns = np.ascontiguousarray(codes.T)
-    off = residuals(quantiser, vectors, codes)
-    for query, q in zip(query_ids.tolist(), queries):
-        rough = np.zeros(len(ids), np.float32)
-        for table, column in zip(quantiser.tables(q), columns):
-            rough += table.take(column)
-        own = np.searchsorted(ids, query)
-        if own < len(ids) and ids[own] == query:
-            rough[own] = -np.inf
-        at = best(rough, pool)
-        at = at[ids[at] != query]
-        exact = inner(vectors[at], q)
-        if len(ids) > pool and k > 0:
-            length = np.linalg.norm(q)
-            least = np.partition(exact, len(exact) - k)[len(exact) - k] if len(exact) >= k else -np.inf
-            may = rough + length * off >= least
-            may[at] = False
-            more = np.flatnonzero(may)
-            more = more[ids[more] != query]
+@dataclass
+class Best:
+    """The ``k`` nearest rows that one task has met, for each query of a wave; ``least``: scores below are of no interest."""
+
+    quantiser: Quantiser
+    query_ids: np.ndarray
+    queries: np.ndarray
+    least: np.ndarray
+    k: int
+    pool: int
+
+    def __post_init__(self) -> None:
+        none = np.zeros(0, np.int64), np.zeros(0)
+        self.lengths = np.linalg.norm(self.queries, axis=1)
+        self.kept = [none] * len(self.queries)
+
+    def scan(self, ids: np.ndarray, vectors: np.ndarray, codes: np.ndarray) -> None:
+        """A table scan of a block's codes picks the candidates, whose exact scores decide.
+
+        Candidates are all rows whose code's score and residual allow a score as
+        good as the k-th known, so that none of the nearest is missed.
+        """
+        columns = np.ascontiguousarray(codes.T)
+        off, norms = residuals(self.quantiser, vectors, codes), np.linalg.norm(vectors, axis=1)
+        for i, (query, q, length) in enumerate(zip(self.query_ids.tolist(), self.queries, self.lengths.tolist())):
+            rough = np.zeros(len(ids), np.float32)
+            for table, column in zip(self.quantiser.tables(q), columns):
+                rough += table.take(column)
+            rough[ids == query] = -np.inf
+            known, scores = self.kept[i]
+            least = max(self.least[i], scores[-1]) if len(scores) == self.k else self.least[i]
+            if least == -np.inf:
+                first = best(rough, self.pool)
+                exact = np.sort(inner(vectors[first[ids[first] != query]], q))
+                least = exact[-self.k] if len(exact) >= self.k else least
+            at = np.flatnonzero(~(rough + length * off < least) & (ids != query))
             # The fast product differs from the exact score in rounding alone.
-            more = more[vectors[more] @ q >= least - 1e-9 * length * np.linalg.norm(vectors[more], axis=1)]
-            at, exact = np.concatenate((at, more)), np.concatenate((exact, inner(vectors[more], q)))
-        order = np.lexsort((ids[at], -exact))[:k]
-        yield query, ids[at][order], exact[order]
-
-
-def valid_vectors(table: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(vec_id, x: array of double): one row for each id, without vectors that take no part."""
+            at = at[vectors[at] @ q >= least - 1e-9 * length * norms[at]]
+            exact = inner(vectors[at], q)
+            at, exact = at[exact >= least], exact[exact >= least]
+            if len(at):
+                known, scores = np.concatenate((known, ids[at])), np.concatenate((scores, exact))
+                order = np.lexsort((known, -scores))[: self.k]
+                self.kept[i] = known[order], scores[order]
+
+    def rows(self) -> pa.RecordBatch:
+        counts = [len(ids) for ids, _ in self.kept]
+        none = np.zeros(0, np.int64), np.zeros(0)
+        columns = [np.repeat(self.query_ids, counts), *(np.concatenate([none[j], *(x[j] for x in self.kept)]) for j in (0, 1))]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_id", "vec_id", "score"])
+
+
+def valid_vectors(table: DataFrame, id_col: str, vector_col: str, parts: int) -> DataFrame:
+    """(vec_id, x: array of double): one row for each id, without vectors that take no part, in ``parts`` partitions."""
     x = F.col(vector_col).cast("array<double>")
     rows = table.select(F.col(id_col).cast("long").alias("vec_id"), x.alias("x")).where("vec_id is not null and x is not null")
     fine = F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists("x", lambda v: v != 0)
-    return rows.where(fine).groupBy("vec_id").agg(F.min("x").alias("x"))
+    return rows.where(fine).repartition(parts, "vec_id").groupBy("vec_id").agg(F.min("x").alias("x"))
 
 
-def nearest(table: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", pool: int = POOL, training_rows: int = TRAINING_ROWS) -> DataFrame:
+def nearest(
+    table: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", pool: int = POOL, training_rows: int = TRAINING_ROWS, block_rows: int = BLOCK_ROWS, wave_queries: int = WAVE_QUERIES
+) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest by inner product of each row whose id ``every`` divides, among all other rows.
 
-    Codebooks are fitted on ``training_rows`` vectors, chosen by a hash of their
-    ids; every vector is encoded. Queries meet rows in a grid of blocks, which
-    are bounded in size: in each, a scan of the 4-bit codes picks ``pool``
-    candidates for each query, and all others that the codes' errors leave in
-    question; exact scores keep ``k`` of them, and the blocks' best are merged.
-    Ties go to the smaller id, also in the scan.
+    Codebooks are fitted on ``training_rows`` vectors (in expectation), chosen
+    by a hash of their ids; every vector is encoded, and stays where it is
+    stored: waves of about ``wave_queries`` queries are sent to all tasks, each
+    of which scans the 4-bit codes of its rows for each query and scores those
+    exactly that the codes' errors leave in question. Before that, one row in
+    ``PROBE`` is scanned alike: a query's k-th best among these bounds its
+    neighbours' scores from below, so that a task passes on few others, however
+    many tasks there are. Ties go to the smaller id.
 
     Vectors that are null, zero, or hold null or non-finite components take no
     part, nor do rows without id or of another length than most vectors'. Rows
     with the same id count as one (the least vector). No rows give no rows.
     """
-    rows = valid_vectors(table, id_col, vector_col)
-    rows = stored(rows)
+    spark = table.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, math.ceil(table.count() / PART_ROWS))
+    rows = stored(valid_vectors(table, id_col, vector_col, parts))
     sizes = rows.groupBy(F.size("x").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
     out = "query_id long, rank int, vec_id long, score double"
     if not sizes:
-        return table.sparkSession.createDataFrame([], out)
+        return spark.createDataFrame([], out)
     d, n = sizes[0].d, sizes[0]["count"]
     rows = rows.where(F.size("x") == d)
     share = min(1.0, training_rows / n)
-    sample = rows.where(F.pmod(F.xxhash64("vec_id"), F.lit(1_000_000)) < max(1, int(1_000_000 * share))).select("x").toArrow()
+    sample = rows.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 40)) < max(1, int((1 << 40) * share))).select("x").toArrow()
     if sample.num_rows == 0:
         sample = rows.select("x").limit(1).toArrow()
-    x = np.stack(sample.column("x").to_numpy())
-    quantiser = Quantiser.fit(x)
+    quantiser = Quantiser.fit(np.stack(sample.column("x").to_numpy()))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 4096):
             x = np.stack(batch.column(1).to_numpy(zero_copy_only=False))
-            codes = quantiser.encode(x)
-            packed = [c.tobytes() for c in codes], [v.tobytes() for v in x]
+            packed = [c.tobytes() for c in quantiser.encode(x)], [v.tobytes() for v in x]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed[0], pa.binary()), pa.array(packed[1], pa.binary())], ["vec_id", "code", "x"])
 
     index = stored(rows.select("vec_id", "x").mapInArrow(encode, "vec_id long, code binary, x binary"))
-    queries = index.where(F.col("vec_id") % every == 0)
-    row_blocks, query_blocks = math.ceil(n / BLOCK_ROWS), max(1, math.ceil(queries.count() / BLOCK_QUERIES))
-
-    def grid(df: DataFrame, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
-        df = df.withColumn(own, F.pmod(F.xxhash64("vec_id"), F.lit(n_own)).cast("int"))
-        return df.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1)))).select("r", "q", "vec_id", "code", "x")
-
-    def matrix(column: pa.ChunkedArray, kind: type, width: int) -> np.ndarray:
-        return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, width)
-
-    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        left, right = left.sort_by("vec_id"), right.sort_by("vec_id")
-        found = []
-        if left.num_rows and right.num_rows:
-            width = len(left.column("code")[0].as_py())
-            ids = left.column("vec_id").to_numpy()
-            found = list(scan(quantiser, ids, matrix(left.column("x"), float, d), matrix(left.column("code"), np.uint8, width), right.column("vec_id").to_numpy(), matrix(right.column("x"), float, d), k, pool))
-        return pa.table(
-            {
-                "query_id": np.repeat(np.array([f[0] for f in found], np.int64), [len(f[1]) for f in found]),
-                "vec_id": np.concatenate([f[1] for f in found]) if found else np.zeros(0, np.int64),
-                "score": np.concatenate([f[2] for f in found]) if found else np.zeros(0),
-            }
-        )
-
-    cells = grid(index, "r", row_blocks, "q", query_blocks).groupBy("r", "q").cogroup(grid(queries, "q", query_blocks, "r", row_blocks).groupBy("r", "q"))
-    found = cells.applyInArrow(meet, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    probe = stored(index.where(F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(PROBE)) == 0))
+    queries = stored(index.where(F.col("vec_id") % every == 0).select("vec_id", "x"))
+
+    def matrix(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+        return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1) if len(column) else np.zeros((0, d), kind)
+
+    def searched(among: DataFrame, wave: pa.Table, least: np.ndarray) -> tuple[Broadcast, DataFrame]:
+        """The queries as sent to all tasks, and (query_id, rank, vec_id, score): their ``k`` nearest."""
+        sent = spark.sparkContext.broadcast((wave.column("vec_id").to_numpy(), matrix(wave.column("x"), float), least))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            found, waiting = Best(quantiser, *sent.value, k, pool), []
+
+            def scan() -> None:
+                block = pa.Table.from_batches(waiting)
+                found.scan(block.column("vec_id").to_numpy(), matrix(block.column("x"), float), matrix(block.column("code"), np.uint8))
+                waiting.clear()
+
+            for batch in slices(batches, block_rows):
+                waiting.append(batch)
+                if sum(b.num_rows for b in waiting) >= block_rows:
+                    scan()
+            if waiting:
+                scan()
+            yield found.rows()
+
+        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        ranked = among.mapInArrow(run, "query_id long, vec_id long, score double").withColumn("rank", F.row_number().over(order))
+        return sent, ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    waves, path = max(1, math.ceil(queries.count() / wave_queries)), scratch(spark)
+    for nr in range(waves):
+        wave = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(waves)) == nr).toArrow()
+        least = np.full(wave.num_rows, -np.inf)
+        sent, found = searched(probe, wave, least)
+        bounds = found.where(F.col("rank") == k).select("query_id", "score").toArrow()  # a row for each query of the wave, at most
+        sent.destroy()
+        place = {q: i for i, q in enumerate(wave.column("vec_id").to_pylist())}
+        least[[place[q] for q in bounds.column("query_id").to_pylist()]] = bounds.column("score").to_numpy()
+        sent, found = searched(index, wave, least)
+        found.write.mode("append").parquet(path)
+        sent.destroy()
+    return spark.read.schema(out).parquet(path)

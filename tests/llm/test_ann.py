@@ -65,16 +65,21 @@ def test_small_and_empty_tables(spark):
     kind = "vec_id long, embedding array<float>"
     assert ann.nearest(spark.createDataFrame([], kind)).count() == 0
     assert ann.nearest(spark.createDataFrame([(20, [1.0, 0.0])], kind)).count() == 0
+    assert ann.nearest(spark.createDataFrame([(1, [1.0, 0.0]), (3, [-1.0, 2.0])], kind)).count() == 0
     two = ann.nearest(spark.createDataFrame([(20, [1.0, 0.0]), (3, [-1.0, 2.0])], kind)).collect()
     assert [(r.query_id, r.rank, r.vec_id, r.score) for r in two] == [(20, 1, 3, -1.0)]
 
 
-def test_blocks_give_the_same(spark, monkeypatch):
+def test_blocks_and_waves_give_the_same(spark):
     table = real(spark, "embeddings")
     whole = sorted(map(tuple, ann.nearest(table).collect()))
-    monkeypatch.setattr(ann, "BLOCK_ROWS", 60)
-    monkeypatch.setattr(ann, "BLOCK_QUERIES", 7)
-    assert sorted(map(tuple, ann.nearest(table).collect())) == whole
+    assert sorted(map(tuple, ann.nearest(table, block_rows=60, wave_queries=7, pool=5).collect())) == whole
+
+
+def test_vectors_are_not_multiplied_by_queries(spark):
+    """What a search shuffles is candidates for each query, not the rows' vectors."""
+    found = ann.nearest(real(spark, "embeddings"))
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
 
 
 def test_anisotropic_loss_goes_down():
