@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,9 +15,13 @@ CONTROLS = (START, END, "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>
 BUDGET = 2048
 HISTORY_TURNS = 2
 HISTORY_TOKENS = 512
-#: Turns of a conversation that one task sums; longer conversations go to several.
+#: Turns of a conversation that one row gathers the tokens of; longer conversations go to several.
 BLOCK = 512
+#: Characters of a text that order turns of the same number and role; a hash decides beyond.
+BEGINNING = 64
 SALTS = 16
+#: Places that hold a partition's number in Spark's increasing ids.
+ROW_BITS = 33
 
 
 def escaped(text: Column) -> Column:
@@ -32,79 +38,145 @@ def unescaped(text: Column) -> Column:
 
 
 def rough_tokens(text: Column) -> Column:
-    """Tokens of a turn, about: a quarter of its bytes, and its marks. Never under 1."""
+    """Tokens of a turn, about: a quarter of its bytes, and its marks. Never under 1. An estimate, as no tokenizer is a DataFrame function."""
     return (F.ceil(F.octet_length(text) / 4) + 6).cast("long")
 
 
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def tail(turns: Column, many: int | Column) -> Column:
+    """The last ``many`` of an array, or all."""
+    many = F.lit(many) if isinstance(many, int) else many
+    return F.slice(turns, F.greatest(F.size(turns) - many + 1, F.lit(1)), many)
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """(none, key, rid, pos, tokens, system): the turns' positions in their conversations, from 1.
+
+    ``rid`` ascends in order and without gaps inside a partition, so that a
+    position follows from the first ``rid`` of the conversation there and the
+    number of its turns in the partitions before.
+    """
+    thin = rows.select("none", "key", "rid", F.shiftright("rid", ROW_BITS).alias("part"), "tokens", (F.col("role") == "system").alias("system"))
+    parts = thin.groupBy("none", "key", "part").agg(F.min("rid").alias("begin"), F.count("*").alias("n"))
+    earlier = Window.partitionBy("none", "key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("none", "key", "part", (F.col("begin") - 1 - F.coalesce(F.sum("n").over(earlier), F.lit(0))).alias("zero"))
+    return thin.join(parts, ["none", "key", "part"]).select("none", "key", "rid", (F.col("rid") - F.col("zero")).alias("pos"), "tokens", "system")
+
+
+def spans(budget: int, history_turns: int, history_tokens: int) -> Column:
+    """Of a block's ``turns``, with the conversation's ``sys`` and the turns ``before`` it, the members of its windows.
+
+    A running sum of tokens opens a window where the next turn does not fit. It
+    begins with what the system turn takes, and as many of the last turns as
+    their limit and the room that the new turn leaves allow.
+    """
+    one = "struct<wid: long, first: long, pos: long, rid: long, repeated: boolean>"
+
+    def member(wid: Column, first: Column, t: Column, repeated: bool) -> Column:
+        return F.struct(wid.alias("wid"), first.alias("first"), t.pos.alias("pos"), t.rid.alias("rid"), F.lit(repeated).alias("repeated"))
+
+    def total(turns: Column) -> Column:
+        return F.aggregate(turns, F.lit(0).cast("long"), lambda a, t: a + t.tokens)
+
+    def step(acc: Column, t: Column) -> Column:
+        system = F.when(t.pos > 1, F.col("sys.tokens"))
+        limit = F.least(F.lit(history_tokens), F.lit(budget) - F.coalesce(system, F.lit(0)) - t.tokens)
+        # Sums grow with the number of turns, so that those within the limit are the shortest.
+        many = F.size(F.filter(F.sequence(F.lit(0), F.size(acc.before)), lambda k: (k > 0) & (total(tail(acc.before, k)) <= limit)))
+        own = F.array(member(acc.wid, acc.first, t, False))
+        before = F.when((t.pos == 1) & t.system, acc.before).otherwise(tail(F.concat(acc.before, F.array(t)), history_turns))
+
+        def opened(history: Column) -> Column:
+            kept = F.when(system.isNotNull(), F.array(member(t.rid, t.pos, F.col("sys"), True))).otherwise(F.array().cast(f"array<{one}>"))
+            again = F.transform(history, lambda h: member(t.rid, t.pos, h, True))
+            used = F.coalesce(system, F.lit(0)) + total(history) + t.tokens
+            return F.struct(used.alias("used"), before.alias("before"), t.pos.alias("first"), t.rid.alias("wid"), F.concat(acc.out, kept, again, F.array(member(t.rid, t.pos, t, False))).alias("out"))
+
+        grown = F.struct((acc.used + t.tokens).alias("used"), before.alias("before"), acc.first.alias("first"), acc.wid.alias("wid"), F.concat(acc.out, own).alias("out"))
+        return F.when(acc.used + t.tokens <= budget, grown).otherwise(let(tail(acc.before, many), opened))
+
+    # No turn fits what is used at first, so that every block opens a window.
+    begin = F.struct(F.lit(budget).cast("long").alias("used"), F.col("before"), F.lit(0).cast("long").alias("first"), F.lit(0).cast("long").alias("wid"), F.array().cast(f"array<{one}>").alias("out"))
+    return F.aggregate("turns", begin, step, lambda acc: acc.out)
+
+
+def members(turns: DataFrame, budget: int, history_turns: int, history_tokens: int) -> DataFrame:
+    """(wid: rid of a window's first new turn, first: its position, pos, rid, repeated): the turns of each window.
+
+    A row gathers the tokens of ``BLOCK`` turns at most. Blocks of a long
+    conversation learn its system turn and the last turns of the block before
+    in joins that no conversation gathers in.
+    """
+    turn = F.struct("pos", "rid", "tokens", "system")
+    blocks = turns.groupBy("none", "key", F.floor((F.col("pos") - 1) / BLOCK).alias("block")).agg(F.array_sort(F.collect_list(turn)).alias("turns"))
+    blocks = stored(blocks)
+    head = F.get("turns", F.lit(0))
+    system = F.when(head.system, head)
+    nothing = F.slice("turns", 1, 0)
+    first = blocks.where("block = 0").select("turns", system.alias("sys"), nothing.alias("before"))
+    later = blocks.where("block > 0").withColumn("salt", F.col("block") % SALTS)
+    last = F.filter(tail(F.col("turns"), history_turns), lambda t: (t.pos > 1) | ~t.system)
+    tails = blocks.select("none", "key", (F.col("block") + 1).alias("block"), last.alias("before"))
+    systems = blocks.where("block = 0").where(head.system).join(later.where("block = 1").select("none", "key"), ["none", "key"], "left_semi")
+    systems = systems.select("none", "key", head.alias("sys"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
+    later = later.join(tails, ["none", "key", "block"]).join(systems, ["none", "key", "salt"], "left")
+    both = first.unionByName(later.select("turns", "sys", "before"))
+    return both.select(F.explode(spans(budget, history_turns, history_tokens)).alias("m")).select("m.*")
+
+
 def windows(
     turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text",
-    budget: int = BUDGET, history_turns: int = HISTORY_TURNS, history_tokens: int = HISTORY_TOKENS, tokens: object = rough_tokens,
+    budget: int = BUDGET, history_turns: int = HISTORY_TURNS, history_tokens: int = HISTORY_TOKENS, tokens: Callable[[Column], Column] = rough_tokens,
 ) -> DataFrame:
     """Formatted windows of conversations: (conv_id, first, text, segments).
 
-    Turns are ordered by turn number, then role and text (nulls first). Windows
-    are runs of whole turns: prefix sums of tokens cut a conversation into cells
-    of half of what the budget leaves for new turns (and every ``BLOCK`` turn
-    numbers a new one begins); a turn belongs to the cell in which it begins, and one of more than half a cell's window stands alone,
-    so no window exceeds its share unless one turn does. Every window but the
-    first begins with the conversation's system turn (its first turn, if that is
-    of the role ``system``) and up to ``history_turns`` turns that came before
-    it, of ``history_tokens`` at most; these repeats bear no loss. Each new
-    assistant turn does, in one window alone.
+    Turns are ordered by turn number, then role and the text's first
+    ``BEGINNING`` characters (nulls first), then a hash. Windows are runs of
+    whole turns: running sums of ``tokens`` (of a text; positive) put as many
+    turns in a window as ``budget`` has room for, all that it repeats included;
+    every ``BLOCK`` turns a new one begins. Every window but the first begins
+    with the conversation's system turn (its first turn, if that is of the role
+    ``system``) and up to ``history_turns`` turns that came before it, of
+    ``history_tokens`` at most and only where they fit. So only a window of one
+    new turn can exceed the budget, by a turn that is too long itself or beside
+    the system turn. Repeats bear no loss; each new assistant turn does, in one
+    window alone.
 
     segments: (pos: of the turn, from 1; role_start, role_length, text_start,
     text_length: code points in ``text``; repeated; loss: the text is a target).
     Null roles and texts are empty; rows without conversation id form one
     conversation; repeated rows are turns of their own; an empty table gives no
-    windows; other columns are ignored.
+    windows; other columns are ignored. Rows are dealt out in ranges of their
+    order, so that no conversation and no turn number is gathered in one task.
     """
-    half = max(1, (budget - history_tokens) // 2)
     rows = turns.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    # Keys without nulls, so that joins keep the partitioning of the windows before them.
     rows = rows.withColumns({"none": F.col("conv_id").isNull(), "key": F.coalesce(F.col("conv_id").cast("string"), F.lit(""))})
-    rows = rows.withColumns({"block": F.floor(F.coalesce(F.col("turn"), F.lit(-1)) / BLOCK), "tokens": tokens(F.col("text"))})
-    rows = rows.withColumn("big", (F.col("tokens") > half).cast("long"))
-    # Two levels of sums: within blocks of turns, and over the blocks.
-    own = ("none", "key", "block")
-    within = Window.partitionBy(*own).orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, 0)
-    over = Window.partitionBy("none", "key").orderBy("block")
-    blocks = rows.groupBy(*own).agg(F.count("*").alias("bn"), F.sum("tokens").alias("bt"), F.sum("big").alias("bb"))
-    earlier = over.rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select(*own, *(F.coalesce(F.sum(x).over(earlier), F.lit(0)).alias(x) for x in ("bn", "bt", "bb")), F.lead("block").over(over).isNotNull().alias("more"))
-    rows = rows.select(*own, "conv_id", "role", "text", "tokens", "big", F.count("*").over(within).alias("n"), F.sum("tokens").over(within).alias("t"), F.sum("big").over(within).alias("b"))
-    rows = rows.join(blocks, list(own)).select(
-        *own, "more", "conv_id", "role", "text", "big", (F.col("n") + F.col("bn")).alias("pos"), (F.col("t") + F.col("bt") - F.col("tokens")).alias("before"), (F.col("b") + F.col("bb")).alias("bigs")
-    )
-    cell = F.when(F.col("big") == 1, -1).otherwise(F.floor(F.col("before") / half))
-    rows = rows.withColumn("cell", cell).withColumn("first", F.min("pos").over(Window.partitionBy(*own, "bigs", "big", "cell")))
-    # Whether another window begins within the next turns, which this turn may serve as history.
-    ahead = [F.lead("first", k).over(Window.partitionBy(*own).orderBy("pos")) for k in range(1, history_turns + 1)]
-    serves = F.lit(False)
-    for f in ahead:
-        serves = serves | F.coalesce(f != F.col("first"), F.col("more"))
-    rows = stored(rows.select("none", "key", "conv_id", "role", "text", "pos", "before", "first", serves.alias("serves")))
-    starts = rows.where((F.col("pos") == F.col("first")) & (F.col("pos") > 1)).select("none", "key", "first", F.col("before").alias("upto"))
-    is_system = (F.col("pos") == 1) & (F.col("role") == "system")
-    # History: the turns just before a window, met by their positions.
-    back = starts.select("none", "key", F.col("first").alias("to"), "upto", F.explode(F.sequence(F.greatest(F.lit(1).cast("long"), F.col("first") - history_turns), F.col("first") - 1)).alias("pos"))
-    history = rows.where(F.col("serves") & ~is_system).join(back, ["none", "key", "pos"]).where(F.col("upto") - F.col("before") <= history_tokens)
+    order = {"begins": F.substring("text", 1, BEGINNING), "hash": F.xxhash64("text"), "salt": F.xxhash64(F.monotonically_increasing_id())}
+    rows = rows.withColumns(order | {"tokens": tokens(F.col("text"))})
+    by = ["none", "key", "turn", "role", "begins", "hash"]
+    rows = rows.repartitionByRange(*by, "salt").sortWithinPartitions(*by).withColumn("rid", F.monotonically_increasing_id())
+    rows = stored(rows.select("conv_id", "none", "key", "rid", "role", "text", "tokens"))
+    found = stored(members(numbered(rows), budget, history_turns, history_tokens))
+    texts = rows.select("rid", "conv_id", "role", "text")
+    often = found.where(F.col("repeated") & (F.col("pos") == 1))
+    parts = texts.join(found.where(~F.col("repeated") | (F.col("pos") > 1)), "rid")
     # A long conversation has many windows, so that its system turn goes to several tasks.
-    system = rows.where(is_system).join(starts.select("none", "key").distinct(), ["none", "key"], "left_semi")
-    system = system.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    kept = system.join(starts.select("none", "key", F.col("first").alias("to"), (F.col("first") % SALTS).alias("salt")), ["none", "key", "salt"])
-    columns = ["none", "key", "conv_id", "role", "text", "pos"]
-    parts = rows.select(*columns, "first", F.lit(False).alias("repeated"))
-    for repeated in (history, kept):
-        parts = parts.unionByName(repeated.select(*columns, F.col("to").alias("first"), F.lit(True).alias("repeated")))
-    parts = parts.select("none", "key", "conv_id", "first", "pos", "repeated", (~F.col("repeated") & (F.col("role") == "assistant")).alias("loss"), escaped(F.col("role")).alias("role"), escaped(F.col("text")).alias("text"))
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
+    system = texts.where("role = 'system'").join(often.select("rid").distinct(), "rid", "left_semi").withColumn("salt", salts)
+    parts = parts.unionByName(system.join(often.withColumn("salt", F.col("first") % SALTS), ["rid", "salt"]).drop("salt"))
+    parts = parts.select("wid", "conv_id", "first", "pos", "repeated", (~F.col("repeated") & (F.col("role") == "assistant")).alias("loss"), escaped(F.col("role")).alias("role"), escaped(F.col("text")).alias("text"))
     parts = parts.withColumn("piece", F.concat(F.lit(START), "role", F.lit("\n"), "text", F.lit(END + "\n")))
-    inside = Window.partitionBy("none", "key", "first").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("wid").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
     begun = F.coalesce(F.sum(F.length("piece").cast("long")).over(inside), F.lit(0)) + len(START)
     parts = parts.withColumn("role_start", begun)
     segment = F.struct(
         "pos", "role_start", F.length("role").cast("long").alias("role_length"), (F.col("role_start") + F.length("role") + 1).alias("text_start"), F.length("text").cast("long").alias("text_length"), "repeated", "loss"
     )
-    grouped = parts.groupBy("none", "key", "first", "conv_id").agg(F.array_sort(F.collect_list(F.struct("pos", "piece", segment.alias("segment")))).alias("parts"))
+    grouped = parts.groupBy("wid").agg(F.first("conv_id").alias("conv_id"), F.first("first").alias("first"), F.array_sort(F.collect_list(F.struct("pos", "piece", segment.alias("segment")))).alias("parts"))
     return grouped.select("conv_id", "first", F.array_join(F.col("parts.piece"), "").alias("text"), F.col("parts.segment").alias("segments"))
 
 

@@ -1,6 +1,7 @@
 import hashlib
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import chat
@@ -61,23 +62,61 @@ def test_odd_rows(spark):
             assert w.text[s.text_start + s.text_length :].startswith(chat.END)
 
 
-def test_windows_keep_budget_system_and_history(spark):
-    turns = odd_turns(spark).where("conv_id = 9")
-    budget, history = 400, 80
-    windows = sorted(check(turns, budget=budget, history_turns=2, history_tokens=history), key=lambda w: w.first)
-    size = {i + 1: -(-len(f"turn {i} " + "w" * (i % 97)) // 4) + 6 for i in range(1500)}
-    seen = []
-    for w in windows:
-        new, old = [s.pos for s in w.segments if not s.repeated], [s.pos for s in w.segments if s.repeated]
-        assert new == list(range(w.first, w.first + len(new)))
-        assert [s.pos for s in w.segments] == sorted(old) + new and not any(s.loss for s in w.segments if s.repeated)
-        assert sum(size[p] for p in new) <= budget - history
-        if w.first > 1:
-            back = [p for p in old if p != 1]
-            assert old[0] == 1 and len(back) <= 2 and sum(size[p] for p in back) <= history
-            assert back == list(range(w.first - len(back), w.first))
-        seen += new
-    assert seen == list(range(1, 1501))
+def rough(text):
+    return -(-len((text or "").encode()) // 4) + 6
+
+
+def slow_windows(turns, budget, history_turns, history_tokens, block):
+    """Windows of one conversation's (role, text), turn by turn: (first, repeated positions, new positions), and their tokens."""
+    size, out = [rough(t) for _, t in turns], []
+    system = bool(turns) and turns[0][0] == "system"
+    for i, n in enumerate(size):
+        if i % block and out[-1][3] + n <= budget:
+            out[-1][2].append(i + 1)
+            out[-1][3] += n
+            continue
+        kept = [1] if system and i else []
+        used, back = n + sum(size[p - 1] for p in kept), []
+        for p in range(i, max(i - history_turns, len(kept) and 1, (i // block - 1) * block if i % block == 0 else 0), -1):
+            if sum(size[q - 1] for q in back) + size[p - 1] > min(history_tokens, budget - used):
+                break
+            back.insert(0, p)
+        out.append([i + 1, kept + back, [i + 1], used + sum(size[p - 1] for p in back)])
+    return out
+
+
+@pytest.mark.parametrize("budget, history_turns, history_tokens", [(400, 2, 80), (120, 3, 60), (2048, 2, 512), (60, 0, 0)])
+def test_windows_against_brute_force(spark, budget, history_turns, history_tokens):
+    turns = odd_turns(spark).union(spark.createDataFrame([(11, i, "system" if not i else "user", "s" * (700 if not i else 3000 * (i % 3 == 0))) for i in range(9)], TURNS))
+    found = check(turns, budget=budget, history_turns=history_turns, history_tokens=history_tokens)
+    by = defaultdict(list)
+    for r in turns.collect():
+        by[r.conv_id].append((r.turn is not None, r.turn or 0, r.role or "", r.text or ""))
+    for conv, rows in by.items():
+        want = slow_windows([t[2:] for t in sorted(rows)], budget, history_turns, history_tokens, chat.BLOCK)
+        got = sorted((w.first, [s.pos for s in w.segments if s.repeated], [s.pos for s in w.segments if not s.repeated]) for w in found if w.conv_id == conv)
+        assert got == [(a, b, c) for a, b, c, _ in want]
+        assert all(used <= budget or len(new) == 1 for _, _, new, used in want)
+
+
+def test_windows_of_small_turns_are_full_and_within_budget(spark):
+    rows = [(c, i, ("user", "assistant")[i % 2] if i else "system", "w" * (1 + (i * 37 + c) % 400) if i else "s" * 3200) for c in range(5) for i in range(400)]
+    found = check(spark.createDataFrame(rows, TURNS))
+    size = {(c, i + 1): rough(t) for c, i, _, t in rows}
+    sums = [(w.first, sum(size[w.conv_id, s.pos] for s in w.segments)) for w in found]
+    last = {max(w.first for w in found if w.conv_id == c) for c in range(5)}
+    assert max(n for _, n in sums) <= chat.BUDGET
+    full = [n for first, n in sums if first not in last]
+    assert len(full) > 50 and sum(full) / len(full) > 0.9 * chat.BUDGET
+
+
+def test_many_equal_rows_without_id(spark):
+    """A third of all rows are one conversation at one turn number."""
+    rows = spark.range(30_000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("conv_id"), F.lit(0).alias("turn"), F.lit("user").alias("role"), F.lit("same").alias("text"))
+    found = chat.windows(rows)
+    assert found.where("conv_id is null").agg(F.sum(F.size(F.filter("segments", lambda s: ~s.repeated)))).first()[0] == 10_000
+    assert found.where("conv_id is not null").count() == 20_000
+    assert found.where("conv_id is null").agg(F.max(F.size("segments"))).first()[0] <= chat.BUDGET // 7
 
 
 def test_empty_table_and_no_python(spark):
