@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,7 @@ from .common import slices
 #: In the order in which spans with the same start are listed.
 KINDS = ("assign", "access", "hex", "identifier", "secret", "endpoint")
 BASE = 3
-#: Bytes between two parts of a credential at most; a blank line ends a scope too.
+#: Code points between two parts of a credential at most; a blank line ends a scope too.
 SCOPE = 300
 
 # Fixed patterns. The first is searched in the text with A-Z in lower case.
@@ -31,13 +32,29 @@ MIXED = (re.compile(rb"[a-z]"), re.compile(rb"[A-Z]"), re.compile(rb"[0-9]"))
 Span = tuple[int, int]
 
 
-def near(raw: bytes, span: Span, others: list[Span]) -> bool:
-    """Whether one of the sorted spans lies in the same scope."""
-    at = bisect_left(others, span)
-    for a, b in ((others[i], span) if i < at else (span, others[i]) for i in (at - 1, at) if 0 <= i < len(others)):
-        if b[0] - a[1] <= SCOPE and (b[0] <= a[1] or raw.find(b"\n\n", a[1], b[0]) < 0):
+class Parts:
+    """Spans of one text, to be joined with others by scope."""
+
+    def __init__(self, raw: bytes, spans: list[Span]) -> None:
+        self.raw, self.spans = raw, sorted(spans)
+        self.starts = [a for a, _ in self.spans]
+        self.ends = list(accumulate((b for _, b in self.spans), max))
+
+    def scope(self, stop: int, start: int) -> bool:
+        """Whether what stands between two spans leaves them in one scope."""
+        if start <= stop:
             return True
-    return False
+        between = self.raw[stop : min(start, stop + 4 * SCOPE + 1)]
+        return start - stop <= len(between) and len(between.decode(errors="replace")) <= SCOPE and b"\n\n" not in between
+
+    def near(self, span: Span) -> bool:
+        """Whether one of the spans lies in the same scope.
+
+        Of those that begin before, it is enough to try the one that ends last
+        (not the last to begin), as less stands between; of the others, the first.
+        """
+        at = bisect_right(self.starts, span[0])
+        return (at > 0 and self.scope(self.ends[at - 1], span[0])) or (at < len(self.starts) and self.scope(span[1], self.starts[at]))
 
 
 def cover(spans: list[Span]) -> list[Span]:
@@ -60,9 +77,10 @@ def apart(span: Span, covered: list[Span]) -> bool:
 def scan(raw: bytes) -> list[tuple[int, int, int]]:
     """(kind, start, stop) in bytes, by start and then kind.
 
-    The base kinds stand by themselves. Weak parts need company in their scope:
-    a bare identifier some secret, a bare random string some identifier, an
-    endpoint both. Weak parts that overlap a base span are left to it.
+    The base kinds stand by themselves. Weak parts need company in their scope
+    (``SCOPE`` code points between two parts at most, and no blank line): a bare
+    identifier some secret, a bare random string some identifier, an endpoint
+    both. Weak parts that overlap a base span are left to it.
     """
     lower = raw.lower()
     assign = [m.span() for m in ASSIGN.finditer(lower) if m.end(1) - m.start(1) >= 6]
@@ -74,18 +92,17 @@ def scan(raw: bytes) -> list[tuple[int, int, int]]:
     free = [s for s in free if apart(s, base)]
     if not (base or free):
         return []
-    secrets = sorted(assign + hexes + free)
-    names = [s for s in (m.span() for m in IDENTIFIER.finditer(lower)) if apart(s, base)] if secrets else []
-    identifiers = sorted(access + names)
-    free = [s for s in free if near(raw, s, identifiers)]
-    secrets = sorted(assign + hexes + free)
-    names = [s for s in names if near(raw, s, secrets)]
-    identifiers = sorted(access + names)
+    names = [s for s in (m.span() for m in IDENTIFIER.finditer(lower)) if apart(s, base)] if assign or hexes or free else []
+    identifiers = Parts(raw, access + names)
+    free = [s for s in free if identifiers.near(s)]
+    secrets = Parts(raw, assign + hexes + free)
+    names = [s for s in names if secrets.near(s)]
+    identifiers = Parts(raw, access + names)
     found += [(3, *s) for s in names] + [(4, *s) for s in free if apart(s, cover(names))]
-    if identifiers and secrets:
-        taken = cover(base + names + free)
+    if identifiers.spans and secrets.spans:
+        taken = cover([s[1:] for s in found] + free)
         places = (m.span() for m in ENDPOINT.finditer(lower))
-        found += [(5, *s) for s in places if apart(s, taken) and near(raw, s, identifiers) and near(raw, s, secrets)]
+        found += [(5, *s) for s in places if apart(s, taken) and identifiers.near(s) and secrets.near(s)]
     return sorted(found, key=lambda s: (s[1], s[0], s[2]))
 
 
@@ -123,7 +140,11 @@ def listed(spans: str | object) -> object:
 
 
 def redacted(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with each stretch of overlapping spans replaced by ``mark``; texts without secrets stay as they are."""
+    """``docs`` with each stretch of overlapping spans replaced by ``mark``; texts without secrets stay as they are.
+
+    Null and empty texts stay null and empty, repeated rows and rows without id
+    are each treated for itself, other columns stay, an empty table is empty.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):

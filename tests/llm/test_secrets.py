@@ -50,6 +50,75 @@ def test_weak_parts_need_company():
     assert kinds(f"{key} see https://s3.example.com") == ["access"]
 
 
+def slow_links(text):
+    """All spans, by comparing every part with every other, in code points."""
+    lower = "".join(c.lower() if c.isascii() else c for c in text)
+
+    def found(pattern, where):
+        return [m.span() for m in re.finditer(pattern.pattern.decode(), where, re.ASCII)]
+
+    def free_of(span, others):
+        return all(span[1] <= a or b <= span[0] for a, b in others)
+
+    def linked(span, others):
+        for other in others:
+            (_, stop), (start, _) = sorted((span, other))
+            if start <= stop or (start - stop <= secrets.SCOPE and "\n\n" not in text[stop:start]):
+                return True
+        return False
+
+    spans = slow_base(text)
+    base = [s[1:] for s in spans]
+    strong = [s[1:] for s in spans if s[0] in ("assign", "hex")]
+    access = [s[1:] for s in spans if s[0] == "access"]
+    names = [s for s in found(secrets.IDENTIFIER, lower) if free_of(s, base)]
+    random_parts = [s for s in found(secrets.SECRET, text) if free_of(s, base) and all(re.search(p, text[slice(*s)]) for p in ("[a-z]", "[A-Z]", "[0-9]"))]
+    random_parts = [s for s in random_parts if linked(s, access + names)]
+    names = [s for s in names if linked(s, strong + random_parts)]
+    places = [s for s in found(secrets.ENDPOINT, lower) if free_of(s, base + names + random_parts) and linked(s, access + names) and linked(s, strong + random_parts)]
+    spans += [("identifier", *s) for s in names] + [("secret", *s) for s in random_parts if free_of(s, names)] + [("endpoint", *s) for s in places]
+    return sorted(spans, key=lambda s: (s[1], secrets.KINDS.index(s[0]), s[2]))
+
+
+def all_spans(text):
+    return [(s["kind"], s["start"], s["stop"]) for s in secrets.spans_of(text.encode())]
+
+
+def planted(many, seed):
+    """Texts in which parts of credentials stand close together, too far apart, or behind a blank line."""
+    random.seed(seed)
+    parts = ["AKIA" + "Q" * 16, "aB3dE6gH9jK2mN5pQ8sT1vW4yZ7bC0dF3gH6jK9m", "client_id: web-77", "user_id = bob", "password: hunter22", "0123456789abcdef" * 2, "https://s3.example.com/bucket", "host: db.example.org:5432",
+             "token=" + "0123456789abcdef" * 2 + "." + "x" * 120]
+    fills = [" ", ", ", "\n", "\n\n", "é" * 200, "a " * 100, "é " * 149, "é " * 150, "é " * 151, "x " * 149 + " ", "x " * 150 + " ", "word " * 80, "😀 " * 120]
+    return ["".join(x for _ in range(random.randrange(1, 8)) for x in (random.choice(parts), " " + random.choice(fills) + " ")) for _ in range(many)]
+
+
+def test_links_against_brute_force():
+    texts = planted(4000, 5)
+    seen = set()
+    for text in texts:
+        want = slow_links(text)
+        assert all_spans(text) == want, repr(text)
+        seen |= {s[0] for s in want}
+    assert seen == set(secrets.KINDS)
+
+
+def test_links_that_a_nearer_part_hides_and_that_count_code_points():
+    inner = "0123456789abcdef01234567"
+    assert kinds(f"token={inner}.{'x' * 320} client_id: web-77") == ["assign", "hex", "identifier"]
+    for fill in "zé":
+        assert kinds(f"AKIA{'Q' * 16} {fill * 200} aB3dE6gH9jK2mN5pQ8sT1vW4yZ7bC0dF3gH6") == ["access", "secret"]
+
+
+def test_planted_table(spark):
+    texts = planted(300, 6)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in secrets.find_secrets(docs).collect():
+        assert [tuple(s) for s in r.secret_spans] == slow_links(texts[r.doc_id])
+    for r in secrets.redacted(docs).collect():
+        assert len(r.text) < len(texts[r.doc_id]) or not slow_links(texts[r.doc_id])
+
+
 def test_base_spans_stay_when_weak_ones_join():
     text = f"user_id = bob password: hunter22 aB3dE6gH9jK2mN5pQ8sT1vW4yZ7bC0dF3gH6"
     found = secrets.spans_of(text.encode())
