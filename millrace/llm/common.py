@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import types
+import uuid
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -33,6 +34,20 @@ def stored(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, by: str, buckets: int) -> DataFrame:
+    """Writes ``df`` to the shared folder in buckets by a column, without a shuffle, and reads it back.
+
+    Joins and aggregates on that column then need none of it moved. The table's
+    name is needed for writing alone; its files outlast it.
+    """
+    spark, name = df.sparkSession, f"millrace_{uuid.uuid4().hex}"
+    df.write.bucketBy(buckets, by).option("path", scratch(spark)).option("compression", "zstd").saveAsTable(name)
+    rows = spark.table(name)
+    rows.schema  # resolved before the name goes
+    spark.sql(f"DROP TABLE {name}")
+    return rows
+
+
 def kept(key: str, make: Callable[[], Any]) -> Any:
     """What ``make`` returns, made once for all tasks that a Python worker runs."""
     state = sys.modules.setdefault("_millrace_worker", types.ModuleType("_millrace_worker")).__dict__

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import re
 from bisect import bisect_right
@@ -13,16 +14,17 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import kept, slices, stored
+from .common import bucketed, kept, slices, stored
 
 #: Distinct words, last met, whose ids a Python worker remembers; up to as many met before them are kept too.
 REMEMBERED = 250_000
-#: Rows of the offsets table (8 bytes each, and a key) that may be broadcast.
-BROADCAST_ROWS = 500_000
+#: Texts to a bucket of the stored ids, on average, and buckets at most (Spark's own limit): tasks read them as streams, however large.
+BUCKET_ROWS = 16_384
+BUCKETS = 100_000
 
 
 class WordEncoder:
@@ -245,7 +247,7 @@ def encoded(path: str, capacity: int, end: int) -> Callable[[Iterator[pa.RecordB
     return run
 
 
-def placed(found: Plan, capacity: int, whole: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def placed(found: Plan, capacity: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A row for each piece: those that fill a sequence come after the plan's sequences."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,29 +277,35 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
 
     Each text's ids, ``end`` last, are cut into full windows and a rest; the
     rests are placed by ``plan`` from the counts of their lengths alone. Ids are
-    encoded once, stored, and never shuffled: what a task needs to know is how
-    many texts of each length the tasks before it have. Concatenating the pieces
-    of a sequence by offset gives its ids without gaps.
+    encoded once, stored in buckets by the task that made them, and never
+    shuffled or broadcast: what meets them there is one row for each such task,
+    of how many texts of each length the tasks before it have. Concatenating
+    the pieces of a sequence by offset gives its ids without gaps.
 
     A null or empty text is the id ``end`` alone; rows with the same or no id are
     packed each for itself; an empty table gives no pieces.
     """
     rows = docs.select(F.col(id_col).alias("row_id"), F.col(text_col).alias("text"))
     kind = rows.schema["row_id"].dataType.simpleString()
-    ids = stored(rows.mapInArrow(encoded(tokenizer, capacity, end), f"row_id {kind}, part int, rest int, rank long, full long, tokens long, ids binary"))
-    per_part = ids.groupBy("part", "rest").agg(F.count("*").alias("n"), F.sum(F.floor(F.col("tokens") / capacity)).alias("whole"))
-    before = Window.partitionBy("rest").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    per_part = stored(per_part.withColumn("ranked", F.coalesce(F.sum("n").over(before), F.lit(0))))
-    wholes = per_part.groupBy("part").agg(F.sum("whole").alias("whole")).withColumn("one", F.lit(1))
-    # One row for each task of the first stage, so that one task sums them.
-    wholes = wholes.select("part", F.coalesce(F.sum("whole").over(Window.partitionBy("one").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    histogram = {r.rest: r.n for r in per_part.where("rest > 0").groupBy("rest").agg(F.sum("n").alias("n")).collect()}  # fewer rows than ``capacity``
+    # With fewer buckets than shuffles have partitions, Spark would shuffle the ids to have as many.
+    buckets = min(BUCKETS, max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(docs.count() / BUCKET_ROWS)))
+    ids = rows.mapInArrow(encoded(tokenizer, capacity, end), f"row_id {kind}, part int, rest int, rank long, full long, tokens long, ids binary")
+    ids = bucketed(ids, "part", buckets)
+    # A class is a length of rests, or 0 for full windows.
+    counts = ids.groupBy("part", "rest").agg(F.count("*").alias("n"), F.sum(F.floor(F.col("tokens") / capacity)).alias("whole"))
+    counts = counts.select("part", F.explode(F.array(F.struct(F.col("rest").alias("class"), F.when(F.col("rest") > 0, F.col("n")).otherwise(0).alias("n")), F.struct(F.lit(0).alias("class"), F.col("whole").alias("n")))).alias("c")).select("part", "c.*")
+    counts = counts.where("class > 0 or n > 0").groupBy("part", "class").agg(F.sum("n").alias("n"))
+    before = Window.partitionBy("class").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = stored(counts.withColumn("ranked", F.coalesce(F.sum("n").over(before), F.lit(0))))
+    histogram = {r["class"]: r.n for r in ranked.where("class > 0").groupBy("class").agg(F.sum("n").alias("n")).collect()}  # fewer rows than ``capacity``
     found = plan(histogram, capacity, least_cut)
-    offsets = stored(per_part.join(wholes, "part").select("part", "rest", "ranked", "before"))
-    if offsets.count() <= BROADCAST_ROWS:
-        offsets = F.broadcast(offsets)
-    ready = ids.join(offsets, ["part", "rest"]).select("row_id", "rest", (F.col("rank") + F.col("ranked")).alias("rank"), (F.col("full") + F.col("before")).alias("full"), "tokens", "ids")
-    return ready.mapInArrow(placed(found, capacity, found.sequences), f"row_id {kind}, start long, length long, text_tokens long, sequence_id long, offset long, ids binary")
+    offsets = ranked.groupBy("part").agg(F.map_from_entries(F.collect_list(F.struct("class", "ranked"))).alias("before"))
+
+    def shifted(own: str, of: Column) -> Column:
+        return (F.col(own) + F.coalesce(F.col("before")[of], F.lit(0))).alias(own)
+
+    ready = ids.join(offsets.hint("shuffle_hash"), "part").select("row_id", "rest", shifted("rank", F.col("rest")), shifted("full", F.lit(0)), "tokens", "ids")
+    return ready.mapInArrow(placed(found, capacity), f"row_id {kind}, start long, length long, text_tokens long, sequence_id long, offset long, ids binary")
 
 
 def digests(pieces: DataFrame) -> DataFrame:

@@ -1,4 +1,5 @@
 import random
+import re
 import zlib
 from collections import defaultdict
 
@@ -63,14 +64,43 @@ def test_odd_rows(spark):
     assert len([p for p in pieces if p.doc_id is None]) == 2
 
 
+def test_texts_that_fill_whole_windows(spark):
+    words = "lorem ipsum dolor sit amet of the and a in".split()
+    docs = spark.createDataFrame([(i, " ".join(words[j % 10] for j in range(i % 23))) for i in range(400)], "doc_id long, text string").repartition(6)
+    pieces = packing.pack(docs, PATH, capacity=4, least_cut=1).collect()
+    tokenizer, seen, parts = Tokenizer.from_file(PATH), defaultdict(set), defaultdict(dict)
+    for p in pieces:
+        cells = set(range(p.offset, p.offset + p.length))
+        assert not cells & seen[p.sequence_id] and max(cells) < 4
+        seen[p.sequence_id] |= cells
+        parts[p.row_id][p.start] = bytes(p.ids)
+    for r in docs.collect():
+        want = [*tokenizer.encode(r.text, add_special_tokens=False).ids, 2]
+        assert b"".join(parts[r.doc_id][k] for k in sorted(parts[r.doc_id])) == np.array(want, "<u4").tobytes()
+    total = sum(p.length for p in pieces)
+    assert len(seen) == -(-total // 4) and all(c == set(range(len(c))) for c in seen.values())
+
+
 def test_empty_table(spark):
     assert packing.pack(empty_docs(spark), PATH).count() == 0
 
 
-def test_offsets_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(packing, "BROADCAST_ROWS", 0)
+def test_ids_are_neither_shuffled_nor_broadcast(spark):
+    """Whatever Spark's own threshold is: no exchange of the stored ids, nor a broadcast at all."""
     docs = real(spark, "documents").repartition(5)
-    check(docs, packing.digests(packing.pack(docs, PATH)).collect())
+    for threshold, partitions in (("-1", "8"), ("10485760", "64")):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            pieces = packing.pack(docs, PATH)
+            check(docs, packing.digests(pieces).collect())
+            plan = pieces._jdf.queryExecution().explainString(pieces._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+        exchanges = re.findall(r"\) (?:Broadcast)?Exchange\nInput \[\d+\]: \[(.*?)\]", plan)
+        assert exchanges and not any("ids#" in x for x in exchanges)
+        assert "BroadcastExchange" not in plan and "ShuffledHashJoin" in plan
 
 
 def best_sum(capacity, counts):
