@@ -10,6 +10,7 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,6 +63,17 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.
             yield batch.slice(start, rows)
 
 
+def by_bytes(batches: Iterator[pa.RecordBatch], column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Slices of rows whose strings in a column have about ``most`` bytes, or that are one row."""
+    for batch in batches:
+        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        begun = (np.cumsum(sizes) - sizes) // most
+        cuts = [0, *(np.flatnonzero(np.diff(begun)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            if b > a:
+                yield batch.slice(a, b - a)
+
+
 def local_components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The smallest index in the component of each of n nodes; edges are a[i] - b[i]."""
     label = np.arange(n)

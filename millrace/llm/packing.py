@@ -18,10 +18,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import bucketed, kept, slices, stored
+from .common import bucketed, by_bytes, kept, slices, stored
 
 #: Distinct words, last met, whose ids a Python worker remembers; up to as many met before them are kept too.
 REMEMBERED = 250_000
+#: Bytes of texts that are encoded at once (a text of more is whole).
+ENCODED_BYTES = 4 << 20
 #: Texts to a bucket of the stored ids, on average, and buckets at most (Spark's own limit): tasks read them as streams, however large.
 BUCKET_ROWS = 16_384
 BUCKETS = 100_000
@@ -40,6 +42,9 @@ class WordEncoder:
     #: A sign before a comma or full stop, which one token may hold together.
     UNSAFE = re.compile(r"[.,](?=[ \n])(?<=[\W_][.,])(?<![ \n].)")
 
+    #: Letters, and signs that no token holds together with letters.
+    SIGNED = re.compile(r"([^\W\d_]+)([!#$%&*.,;:?]+)")
+
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker for each core
         self.tokenizer = Tokenizer.from_file(path)
@@ -55,17 +60,29 @@ class WordEncoder:
         return kept(f"words {path}", lambda: cls(path))
 
     def learn(self, words: list[str]) -> None:
-        """Encodes words: those of letters, which are one stretch of tokens each, many at a time; others one by one."""
-        plain = [w for w in words if w.isalpha() and "\u0130" not in w]
-        other = list(set(words).difference(plain))
-        for w, found in zip(other, self.tokenizer.encode_batch(other, add_special_tokens=False)):
+        """Encodes words: those of letters, which are one stretch of tokens each, many at a time; of those with signs behind, both apart; others one by one."""
+        plain, signed, other = {}, [], {}
+        for w in words:
+            m = self.SIGNED.fullmatch(w)
+            letters, signs = m.groups() if m else (w, "")
+            if not letters.isalpha() or "\u0130" in letters:
+                other[w] = None
+            elif signs:
+                signed.append((w, letters, signs))
+            else:
+                plain[w] = None
+        plain.update((letters, None) for _, letters, _ in signed if letters not in self.known)
+        other.update((signs, None) for *_, signs in signed if signs not in self.known)
+        for w, found in zip(other, self.tokenizer.encode_batch_fast(list(other), add_special_tokens=False)):
             self.known[w] = np.array(found.ids, "<u4").tobytes()
+        plain = list(plain)
         for at in range(0, len(plain), 512):
             part = plain[at : at + 512]
             ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
             cuts = [0, *(4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()]
             raw = ids.tobytes()
             self.known.update(zip(part, (raw[a:b] for a, b in zip(cuts, cuts[1:])), strict=True))
+        self.known.update((w, self.known[letters] + self.known[signs]) for w, letters, signs in signed)
 
     def spaced(self, text: str) -> str:
         """The text with its words apart from commas and full stops, where its tokens stay the same."""
@@ -84,13 +101,15 @@ class WordEncoder:
         coded = words.values.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
         known, older = self.known, self.older
-        fresh = set(distinct).difference(known)
+        found = list(map(known.get, distinct))
+        missing = [i for i, x in enumerate(found) if x is None]
         # Words that are met again outlast those that are not.
-        known.update((w, older[w]) for w in fresh if w in older)
-        self.learn(list(fresh.difference(older)))
-        found = [known[w] for w in distinct]
+        known.update((w, older[w]) for w in map(distinct.__getitem__, missing) if w in older)
+        self.learn([w for w in map(distinct.__getitem__, missing) if w not in known])
+        for i in missing:
+            found[i] = known[distinct[i]]
         # The ids of all words in turn, gathered from those of the distinct words.
-        sizes = np.fromiter((len(x) // 4 for x in found), np.int64, len(found))
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         at = coded.indices.to_numpy(zero_copy_only=False)
         n = sizes[at]
         ends = np.cumsum(n)
@@ -226,7 +245,7 @@ def encoded(path: str, capacity: int, end: int) -> Callable[[Iterator[pa.RecordB
         encoder, part, seen = WordEncoder.shared(path), TaskContext.get().partitionId(), {}
         stop = np.array([end], "<u4")
         narrow = "<u2" if max(len(encoder.ends), end + 1) <= 1 << 16 else "<u4"
-        for batch in slices(batches, 512):
+        for batch in by_bytes(batches, 1, ENCODED_BYTES):
             texts = [x or "" for x in batch.column(1).to_pylist()]
             ids, tokens, left, rank, full = [], [], [], [], []
             for found in encoder.encode(texts):

@@ -141,7 +141,7 @@ def test_plan_places_every_text_once(histogram, least_cut):
 def test_word_encoder_against_the_tokenizer():
     encoder, tokenizer = packing.WordEncoder(PATH), Tokenizer.from_file(PATH)
     random.seed(5)
-    signs = ["a", "B", "é", "É", "ß", "İ", "Σ", "ς", " ", " ", "\n", "\t", "\x1c", " ", "́", "'s", "'LL", "<|endoftext|>", "<|EndOfText|>", ".", ",", "…", "1", "_", "日", "😀", "​", "　"]
+    signs = ["a", "B", "é", "É", "ß", "İ", "Σ", "ς", " ", " ", "\n", "\t", "\x1c", " ", "́", "'s", "'LL", "<|endoftext|>", "<|EndOfText|>", ".", ",", "…", "1", "_", "²", "Ⅷ", "word", "Ünd", "***", "!!", "###", "?;:", "&&&%", "$$$", "'", "日", "😀", "​", "　"]
     texts = ["".join(random.choices(signs, k=random.randrange(40))) for _ in range(4000)]
     for text, ids in zip(texts, encoder.encode(texts)):
         assert tokenizer.encode(text, add_special_tokens=False).ids == ids.tolist(), repr(text)
