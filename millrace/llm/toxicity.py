@@ -27,10 +27,9 @@ QUOTES = "\"'“”‘’«»„`"
 #: Words on either side of a hit that its context takes in.
 CONTEXT = 4
 
-#: Labelled rows that lexicon and weights are fitted on at most (in expectation), terms of the lexicon, and the evidence a term needs (log likelihood ratio).
+#: Labelled rows that lexicon and weights are fitted on at most (in expectation), and terms that may get into the lexicon by chance (in expectation).
 TRAINING_ROWS = 20_000
-TERMS = 5_000
-EVIDENCE = 30.0
+FALSE_TERMS = 0.05
 STEMS = (4, 5, 6)
 WORD = re.compile(r"[^\W_]+")
 #: Words whose verdict a task remembers, and states of the automaton.
@@ -41,8 +40,11 @@ FEATURES = 7
 
 
 def allowed(length: int, stem: bool) -> int:
-    """Edits that a term of this length may have: stems and short words few."""
-    return (length >= 8) + (length >= 6 and not stem) * (length < 8) + (length >= 10 and not stem)
+    """Edits that a term of this length may have: two from 10 letters on, one from 5; stems one from 8 on, as what follows them is free."""
+    return int(length >= 8) if stem else (length >= 5) + (length >= 10)
+
+
+Reached = dict[tuple[int, str], int]
 
 
 class Automaton:
@@ -50,7 +52,9 @@ class Automaton:
 
     A state is the set of trie nodes that can have been reached, each with the
     fewest edits; states and their moves are made when a word first needs them.
-    A term that ends in ``*`` is a stem: it accepts words that begin with it.
+    Edits are letters put in, left out, replaced, or swapped with the next one:
+    a node can wait for the first of two swapped letters. A term that ends in
+    ``*`` is a stem: it accepts words that begin with it.
     """
 
     def __init__(self, terms: dict[str, float]) -> None:
@@ -74,22 +78,22 @@ class Automaton:
         self.reset()
 
     def reset(self) -> None:
-        self.numbers: dict[tuple[tuple[int, int], ...], int] = {}
-        self.states: list[tuple[tuple[int, int], ...]] = []
+        self.numbers: dict[tuple[tuple[tuple[int, str], int], ...], int] = {}
+        self.states: list[tuple[tuple[tuple[int, str], int], ...]] = []
         self.moves: list[dict[str, int]] = []
         self.stems: list[tuple[int, float] | None] = []
-        self.begin = self.state({0: 0})
+        self.begin = self.state({(0, ""): 0})
 
-    def state(self, reached: dict[int, int]) -> int:
+    def state(self, reached: Reached) -> int:
         """The number of a state, after the moves that skip a letter of a term."""
-        todo = list(reached)
+        todo = [at for at in reached if not at[1]]
         while todo:
-            node = todo.pop()
-            for child in self.children[node].values():
-                e = reached[node] + 1
-                if e <= self.limit[child] and e < reached.get(child, 9):
-                    reached[child] = e
-                    todo.append(child)
+            at = todo.pop()
+            for child in self.children[at[0]].values():
+                e = reached[at] + 1
+                if e <= self.limit[child] and e < reached.get((child, ""), 9):
+                    reached[child, ""] = e
+                    todo.append((child, ""))
         key = tuple(sorted(reached.items()))
         if key not in self.numbers:
             self.numbers[key] = len(self.states)
@@ -98,23 +102,34 @@ class Automaton:
             self.stems.append(self.verdict(key, stems=True))
         return self.numbers[key]
 
-    def verdict(self, key: tuple[tuple[int, int], ...], stems: bool) -> tuple[int, float] | None:
+    def verdict(self, key: tuple[tuple[tuple[int, str], int], ...], stems: bool) -> tuple[int, float] | None:
         """(edits, weight) of the best term that ends here: fewest edits, then the largest weight."""
-        ends = [(e, -self.end[n][2]) for n, e in key if n in self.end and e <= self.end[n][0] and (self.end[n][1] or not stems)]
+        ends = [(e, -self.end[n][2]) for (n, wait), e in key if not wait and n in self.end and e <= self.end[n][0] and (self.end[n][1] or not stems)]
         e, w = min(ends, default=(0, 1.0))
         return None if w > 0 else (e, -w)
 
     def move(self, at: int, c: str) -> int:
-        reached: dict[int, int] = {}
-        for node, e in self.states[at]:
+        reached: Reached = {}
+
+        def reach(node: int, wait: str, e: int) -> None:
+            if e <= self.limit[node]:
+                reached[node, wait] = min(e, reached.get((node, wait), 9))
+
+        for (node, wait), e in self.states[at]:
+            if wait:  # the letter before stood for the second of two, so that this has to be the first
+                if wait == c:
+                    reach(node, "", e)
+                continue
             child = self.children[node].get(c)
-            if child is not None and e < reached.get(child, 9):
-                reached[child] = e
+            if child is not None:
+                reach(child, "", e)
             if e < self.limit[node]:
-                reached[node] = min(e + 1, reached.get(node, 9))
-            for other in self.children[node].values():
-                if e + 1 <= self.limit[other]:
-                    reached[other] = min(e + 1, reached.get(other, 9))
+                reach(node, "", e + 1)
+                for first, other in self.children[node].items():
+                    reach(other, "", e + 1)
+                    swapped = self.children[other].get(c)
+                    if swapped is not None and first != c:
+                        reach(swapped, first, e + 1)
         return self.state(reached) if reached else -1
 
     def match(self, word: str) -> tuple[int, float, bool] | None:
@@ -275,9 +290,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     A document with several labels has the largest; null labels count as none.
     Equal texts count once. Where more than ``training_rows`` are left, a share
-    of them is taken by a hash of the text. A term must be far more frequent in
-    toxic texts than chance (``EVIDENCE``), and stand after different words
-    there, so that many copies of one text prove nothing. With no labels, the
+    of them is taken by a hash of the text. A term must be more frequent in toxic
+    texts than chance makes any of those tried (likelihood ratio, by their
+    number and ``FALSE_TERMS``), and stand after different words there, so that many copies of one text prove nothing. With no labels, the
     seed terms and a fixed weight are used.
     """
     marks = labels.where(F.col(label_col).isNotNull()).groupBy(F.col(label_id_col).alias("id")).agg((F.max(label_col) > 0).cast("int").alias("toxic"))
@@ -286,7 +301,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     hashed = rows.select("id", F.xxhash64("text").alias("h"))
     keys = stored(hashed.join(marks, "id").groupBy("h").agg(F.min(F.struct("id", "toxic")).alias("r")).select("h", "r.id", "r.toxic"))
     share = min(1.0, training_rows / max(1, keys.count()))
-    keys = F.broadcast(keys.where(F.pmod("h", F.lit(1_000_000)) < int(1_000_000 * share)))
+    keys = F.broadcast(keys.where(F.pmod("h", F.lit(1 << 40)) < max(1, int((1 << 40) * share))))
     rows = rows.withColumn("h", F.xxhash64("text")).join(keys, ["id", "h"]).dropDuplicates(["h"])
     rows = stored(rows.select("text", "toxic"))
     sizes = {r.toxic: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -295,14 +310,18 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if toxic and clean:
         sums = rows.select("text", "toxic").mapInArrow(evidence, "term string, clean long, toxic long, places long")
         sums = sums.groupBy("term").agg(F.sum("clean").alias("c"), F.sum("toxic").alias("k"), F.bit_or("places").alias("b"))
-        # Different places, by linear counting over 63 bits; no more texts count than places.
+        # Different places, by linear counting over 63 bits; no more toxic texts count than places, and clean ones in the same proportion.
         places = F.round(-63 * F.log(1 - F.least(F.bit_count("b").cast("double"), F.lit(62.5)) / 63))
         k = F.least(F.col("k").cast("double"), places)
+        c = F.col("c") * k / F.col("k")
         base = toxic / (toxic + clean)
-        both = k + F.col("c")
-        ratio = 2 * (k * F.log(k / (both * base)) + F.when(F.col("c") > 0, F.col("c") * F.log(F.col("c") / (both * (1 - base)))).otherwise(0.0))
-        sums = sums.where("k >= 3").withColumn("ratio", ratio).where((F.col("ratio") > EVIDENCE) & (k > 3 * base * both))
-        found = [(r.term, r.c, r.k, r.ratio) for r in sums.orderBy(F.desc("ratio"), "term").limit(TERMS).collect()]
+        both = k + c
+        ratio = 2 * (k * F.log(k / (both * base)) + F.when(c > 0, c * F.log(c / (both * (1 - base)))).otherwise(0.0))
+        sums = stored(sums.where("k >= 3").select("term", "c", "k", ratio.alias("ratio"), (k > 3 * base * both).alias("more")))
+        # The more terms are tried, the more of them look toxic by chance.
+        least = 2 * math.log(max(1, sums.count()) / FALSE_TERMS)
+        sums = sums.where((F.col("ratio") > least) & F.col("more"))
+        found = [(r.term, r.c, r.k, r.ratio) for r in sums.orderBy(F.desc("ratio"), "term").collect()]  # what the training rows prove: their number bounds it
     terms = lexicon(found, toxic, clean)
     if not (toxic and clean):
         return Model(terms, np.array([0.0] * (FEATURES - 1) + [4.0, -3.0]), np.zeros(FEATURES), np.ones(FEATURES))
