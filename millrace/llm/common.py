@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 import uuid
@@ -49,15 +50,33 @@ def bucketed(df: DataFrame, by: str, buckets: int) -> DataFrame:
     return rows
 
 
+def _remembered() -> dict[str, Any]:
+    return sys.modules.setdefault("_millrace_worker", types.ModuleType("_millrace_worker")).__dict__.setdefault("kept", {})
+
+
+def released(but: str | None = None) -> None:
+    """Drops what ``kept`` holds in this process, all or all but one, and gives its memory back."""
+    state = _remembered()
+    dropped = [key for key in state if key != but]
+    for key in dropped:
+        del state[key]
+    if dropped and sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def kept(key: str, make: Callable[[], Any]) -> Any:
-    """What ``make`` returns, made once for all tasks that a Python worker runs."""
-    state = sys.modules.setdefault("_millrace_worker", types.ModuleType("_millrace_worker")).__dict__
+    """What ``make`` returns, made once for the tasks that a Python worker runs, until it runs those of another operator."""
+    released(but=key)
+    state = _remembered()
     if key not in state:
         state[key] = make()
     return state[key]
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE, keep: bool = False) -> Iterator[pa.RecordBatch]:
+    """Batches of few rows; drops what other operators have ``kept``, unless their task needs it."""
+    if not keep:
+        released()
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)

@@ -111,7 +111,7 @@ def section_tokens(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.shared(vocabulary)
-        for batch in slices(batches):
+        for batch in slices(batches, keep=True):
             owner, name, total = [], [], []
             columns: list[list[np.ndarray]] = [[], [], [], [], [], []]
             given = batch.column(2).to_pylist() if sections_col else [None] * batch.num_rows

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, stored
+from .common import released, slices, stored
 
 # Common insults with which a lexicon begins; the rest is learned from labels.
 SEEDS = (
@@ -33,8 +33,8 @@ FALSE_TERMS = 0.05
 STEMS = (4, 5, 6)
 WORD = re.compile(r"[^\W_]+")
 #: Words whose verdict a task remembers, and states of the automaton.
-REMEMBERED = 500_000
-STATES = 200_000
+REMEMBERED = 100_000
+STATES = 50_000
 
 FEATURES = 7
 
@@ -342,6 +342,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 def scoring(model: Model) -> Callable[[Iterator[pa.Array]], Iterator[pa.Array]]:
     def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        released()
         reader = Reader(model.terms)
         for part in parts:
             for at in range(0, len(part), 1024):

@@ -116,6 +116,27 @@ def grouped(found, key):
     return sorted(map(sorted, by.values()))
 
 
+def test_sketches_and_prefixes_deny_no_similar_pair():
+    rng = np.random.default_rng(12)
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    near = 0
+    for _ in range(1500):
+        n = int(rng.integers(1, 900))
+        a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+        b = np.unique(np.concatenate((a[: max(1, int(len(a) * rng.uniform(0.75, 1)))], rng.integers(0, 1 << 63, int(n * rng.uniform(0, 0.2))).astype(np.uint64))))
+        both = len(np.intersect1d(a, b))
+        apart = simhash.bits_apart(simhash.by_length([simhash.sketch(a), simhash.sketch(b)]), np.array([0]), np.array([1]))[0]
+        assert apart <= len(a) + len(b) - 2 * both
+        if both >= 0.8 * (len(a) + len(b) - both):
+            near += 1
+            assert apart <= 0.2 / 1.8 * (len(a) + len(b)) + 1e-9
+            common = np.intersect1d(simhash.prefix(a, *none, 0.8), simhash.prefix(b, *none, 0.8))
+            assert len(common) >= simhash.shared(min(len(a), len(b)))
+    assert 300 < near < 1200
+    sketches = simhash.by_length([simhash.sketch(x) for x in rng.integers(0, 1 << 63, (100, 500)).astype(np.uint64)])
+    assert simhash.bits_apart(sketches, np.arange(50), np.arange(50) + 50).min() > 0.2 / 1.8 * 1000
+
+
 def test_near_copies_of_real_documents(spark):
     docs = real(spark, "documents", "0.01")
     rows = docs.collect()
