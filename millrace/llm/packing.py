@@ -45,7 +45,8 @@ class WordEncoder:
     #: Letters, and signs that no token holds together with letters.
     SIGNED = re.compile(r"([^\W\d_]+)([!#$%&*.,;:?]+)")
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, remembered: int = REMEMBERED) -> None:
+        self.remembered = remembered
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker for each core
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
@@ -55,9 +56,9 @@ class WordEncoder:
         self.ends[[number for token, number in vocabulary.items() if token.endswith("</w>")]] = True
 
     @classmethod
-    def shared(cls, path: str) -> WordEncoder:
+    def shared(cls, path: str, remembered: int) -> WordEncoder:
         """One for all tasks that a Python worker runs."""
-        return kept(f"words {path}", lambda: cls(path))
+        return kept(f"words {path} {remembered}", lambda: cls(path, remembered))
 
     def learn(self, words: list[str]) -> None:
         """Encodes words: those of letters, which are one stretch of tokens each, many at a time; of those with signs behind, both apart; others one by one."""
@@ -95,7 +96,7 @@ class WordEncoder:
         return text.replace("\n", " ")
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > self.remembered:
             self.known, self.older = {}, self.known
         words = pc.split_pattern(pa.array(map(self.spaced, texts), pa.large_string()), " ")
         coded = words.values.dictionary_encode()
@@ -238,14 +239,14 @@ def plan(histogram: dict[int, int], capacity: int = 4096, least_cut: int = 16) -
     return out
 
 
-def encoded(path: str, capacity: int, end: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def encoded(path: str, capacity: int, end: int, remembered: int, at_once: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Ids of each text, its class (what is left beyond full windows) and its place among those of its task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, seen = WordEncoder.shared(path), TaskContext.get().partitionId(), {}
+        encoder, part, seen = WordEncoder.shared(path, remembered), TaskContext.get().partitionId(), {}
         stop = np.array([end], "<u4")
         narrow = "<u2" if max(len(encoder.ends), end + 1) <= 1 << 16 else "<u4"
-        for batch in by_bytes(batches, 1, ENCODED_BYTES):
+        for batch in by_bytes(batches, 1, at_once):
             texts = [x or "" for x in batch.column(1).to_pylist()]
             ids, tokens, left, rank, full = [], [], [], [], []
             for found in encoder.encode(texts):
@@ -291,7 +292,7 @@ def placed(found: Plan, capacity: int) -> Callable[[Iterator[pa.RecordBatch]], I
     return run
 
 
-def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = 4096, end: int = 2, least_cut: int = 16) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = 4096, end: int = 2, least_cut: int = 16, remembered: int = REMEMBERED, at_once: int = ENCODED_BYTES) -> DataFrame:
     """Pieces of ``docs`` in sequences of at most ``capacity`` ids: (row_id, start, length, text_tokens, sequence_id, offset, ids: little-endian uint32).
 
     Each text's ids, ``end`` last, are cut into full windows and a rest; the
@@ -301,6 +302,9 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     of how many texts of each length the tasks before it have. Concatenating
     the pieces of a sequence by offset gives its ids without gaps.
 
+    ``remembered`` (words whose ids a worker keeps) and ``at_once`` (bytes of
+    texts encoded at a time) trade memory for time, and change no result.
+
     A null or empty text is the id ``end`` alone; rows with the same or no id are
     packed each for itself; an empty table gives no pieces.
     """
@@ -308,7 +312,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     kind = rows.schema["row_id"].dataType.simpleString()
     # With fewer buckets than shuffles have partitions, Spark would shuffle the ids to have as many.
     buckets = min(BUCKETS, max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(docs.count() / BUCKET_ROWS)))
-    ids = rows.mapInArrow(encoded(tokenizer, capacity, end), f"row_id {kind}, part int, rest int, rank long, full long, tokens long, ids binary")
+    ids = rows.mapInArrow(encoded(tokenizer, capacity, end, remembered, at_once), f"row_id {kind}, part int, rest int, rank long, full long, tokens long, ids binary")
     ids = bucketed(ids, "part", buckets)
     # A class is a length of rests, or 0 for full windows.
     counts = ids.groupBy("part", "rest").agg(F.count("*").alias("n"), F.sum(F.floor(F.col("tokens") / capacity)).alias("whole"))

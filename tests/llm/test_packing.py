@@ -147,9 +147,8 @@ def test_word_encoder_against_the_tokenizer():
         assert tokenizer.encode(text, add_special_tokens=False).ids == ids.tolist(), repr(text)
 
 
-def test_word_encoder_that_remembers_little(monkeypatch):
-    monkeypatch.setattr(packing, "REMEMBERED", 20)
-    encoder, tokenizer = packing.WordEncoder(PATH), Tokenizer.from_file(PATH)
+def test_word_encoder_that_remembers_little():
+    encoder, tokenizer = packing.WordEncoder(PATH, remembered=20), Tokenizer.from_file(PATH)
     random.seed(6)
     for _ in range(40):
         texts = [" ".join(f"word{min(random.randrange(60), random.randrange(60))}" for _ in range(12)) for _ in range(3)]
