@@ -11,6 +11,8 @@ from millrace.llm.common import stored
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 REJECT_FROM = 0.3
+#: Packing's memory: its workers run beside a JVM that the stages before have made large.
+REMEMBERED_WORDS, ENCODED_BYTES = 80_000, 1 << 20
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,7 +72,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     A null or empty text is the end id alone; rows with a null or repeated id
     are packed each for itself; an empty table gives no pieces.
     """
-    pieces = packing.pack(docs.select(*COLUMNS), public_tokenizers.path("word_bpe_49k.json"))
+    pieces = packing.pack(docs.select(*COLUMNS), public_tokenizers.path("word_bpe_49k.json"), remembered=REMEMBERED_WORDS, at_once=ENCODED_BYTES)
     return pieces.withColumnsRenamed({"row_id": "doc_id", "text_tokens": "doc_tokens"})
 
 
