@@ -16,8 +16,9 @@ from .common import connected_components, local_components, slices, stored
 
 BITS = 64
 SEED = 42
-#: Variants that a task holds at once.
-AT_ONCE = 1_000_000
+#: Variants that a task holds at once; where it runs beside a JVM that has grown large.
+AT_ONCE = 4_000_000
+FEW_AT_ONCE = 1_000_000
 
 
 def majority(hashes: np.ndarray) -> int:
@@ -427,7 +428,7 @@ def more_links(crowded: DataFrame, sketches: DataFrame, roots: DataFrame, done:
 def ball_pairs(nodes: DataFrame, radius: int = 4) -> DataFrame:
     """(src, dst): nodes whose fingerprints are within ``radius`` bits, as a graph with their components."""
     fps = stored(nodes.groupBy("fp").agg(F.min("node").alias("rep")))
-    links, other = ball_links(fps, radius), fps.select(F.col("fp").alias("dst"), F.col("rep").alias("b"))
+    links, other = ball_links(fps, radius, FEW_AT_ONCE), fps.select(F.col("fp").alias("dst"), F.col("rep").alias("b"))
     apart = links.join(fps.select(F.col("fp").alias("src"), F.col("rep").alias("a")), "src").join(other, "dst").select(F.col("a").alias("src"), F.col("b").alias("dst"))
     return apart.unionByName(nodes.join(fps, "fp").where("node <> rep").select(F.col("node").alias("src"), F.col("rep").alias("dst")))
 
