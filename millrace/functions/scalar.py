@@ -32,14 +32,19 @@ def strings(t: Tables) -> DataFrame:
     )
 
 
-@query("SELECT p_partkey, regexp_replace(p_name, '[aeiou]', '', 'g') AS bare, regexp_extract(p_brand, '([0-9]+)', 1) AS number FROM part")
+@query("SELECT doc_id, regexp_replace(text, '[aeiou]', '', 'g') AS bare, regexp_extract(text, '([0-9]+)', 1) AS number FROM documents")
 def regular_expressions(t: Tables) -> DataFrame:
-    return t.part.select("p_partkey", F.regexp_replace("p_name", "[aeiou]", "").alias("bare"), F.regexp_extract("p_brand", "([0-9]+)", 1).alias("number"))
+    return t.documents.select("doc_id", F.regexp_replace("text", "[aeiou]", "").alias("bare"), F.regexp_extract("text", "([0-9]+)", 1).alias("number"))
 
 
-@query("SELECT w AS word, count(*) AS n FROM (SELECT unnest(string_split(p_name, ' ')) AS w FROM part) GROUP BY w")
+@query("SELECT doc_id, CAST(length(text) AS INT) AS n, substring(text, 2, 40) AS s, replace(text, ' ', '_') AS r FROM documents")
+def document_strings(t: Tables) -> DataFrame:
+    return t.documents.select("doc_id", F.length("text").alias("n"), F.substring("text", 2, 40).alias("s"), F.replace("text", F.lit(" "), F.lit("_")).alias("r"))
+
+
+@query("SELECT w AS word, count(*) AS n FROM (SELECT unnest(string_split(text, ' ')) AS w FROM documents) GROUP BY w")
 def split_and_count(t: Tables) -> DataFrame:
-    return t.part.select(F.explode(F.split("p_name", " ")).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    return t.documents.select(F.explode(F.split("text", " ")).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
 
 
 @query("""SELECT o_orderkey, CAST(year(o_orderdate) AS INT) AS y, CAST(quarter(o_orderdate) AS INT) AS q, CAST(dayofweek(o_orderdate) AS INT) + 1 AS dow, CAST(date_trunc('month', o_orderdate) AS DATE) AS m, last_day(o_orderdate) AS ld,
@@ -52,11 +57,11 @@ def dates(t: Tables) -> DataFrame:
     )
 
 
-@query("SELECT p_partkey, CAST(floor(p_retailprice) AS BIGINT) AS f, CAST(ceil(p_retailprice) AS BIGINT) AS c, abs(p_size - 25) AS a, p_size % 7 AS m, sqrt(p_size) AS s, round(ln(p_retailprice), 8) AS l FROM part")
+@query("SELECT p_partkey, CAST(floor(p_retailprice) AS BIGINT) AS f, CAST(ceil(p_retailprice) AS BIGINT) AS c, abs(p_size - 25) AS a, p_size % 7 AS m, sqrt(p_size) AS s, round(ln(p_retailprice), 8) AS l, CAST(sign(p_size - 25) AS DOUBLE) AS g FROM part")
 def arithmetic(t: Tables) -> DataFrame:
     return t.part.select(
         "p_partkey", F.floor("p_retailprice").alias("f"), F.ceil("p_retailprice").alias("c"), F.abs(F.col("p_size") - 25).alias("a"), (F.col("p_size") % 7).alias("m"), F.sqrt("p_size").alias("s"),
-        F.round(F.ln("p_retailprice"), 8).alias("l"),
+        F.round(F.ln("p_retailprice"), 8).alias("l"), F.sign(F.col("p_size") - 25).alias("g"),
     )
 
 
@@ -78,15 +83,40 @@ def higher_order(t: Tables) -> DataFrame:
     return t.events.where("user_id > 0").select("user_id").distinct().select("user_id", squares.alias("squares"), F.size(F.filter(numbers, lambda x: x % 3 == 0)).alias("thirds"))
 
 
-@query("SELECT p_partkey, p_brand AS brand, CAST(2 AS INT) AS n_keys FROM part")
+@query("SELECT vec_id, CAST(len(embedding) AS INT) AS n, CAST(embedding[3] AS DOUBLE) AS third, CAST(list_sum(list_transform(embedding[1:8], lambda x: CAST(x * 1000 AS INTEGER))) AS BIGINT) AS head, label FROM embeddings")
+def vector_slices(t: Tables) -> DataFrame:
+    head = F.aggregate(F.slice("embedding", 1, 8), F.lit(0).cast("long"), lambda a, x: a + F.rint((x * F.lit(1000).cast("float")).cast("double")).cast("long"))
+    return t.embeddings.select("vec_id", F.size("embedding").alias("n"), F.get("embedding", F.lit(2)).cast("double").alias("third"), head.alias("head"), "label")
+
+
+@query("SELECT vec_id, len(list_filter(list_zip(embedding, list_reverse(embedding)), lambda p: p[1] > p[2]))::INT AS larger FROM embeddings")
+def vector_pairs(t: Tables) -> DataFrame:
+    larger = F.zip_with("embedding", F.reverse("embedding"), lambda x, y: (x > y).cast("int"))
+    return t.embeddings.select("vec_id", F.aggregate(larger, F.lit(0), lambda a, x: a + x).alias("larger"))
+
+
+@query("SELECT p_partkey, map_extract_value(m, 'brand') AS brand, list_aggregate(list_sort(map_keys(m)), 'string_agg', ',') AS keys, CAST(cardinality(m) AS INT) AS n_keys FROM (SELECT p_partkey, MAP {'brand': p_brand, 'type': p_type} AS m FROM part)")
 def maps(t: Tables) -> DataFrame:
-    m = F.create_map(F.lit("brand"), F.col("p_brand"), F.lit("type"), F.col("p_type"))
-    return t.part.select("p_partkey", m["brand"].alias("brand"), F.size(F.map_keys(m)).alias("n_keys"))
+    entries = F.array(F.struct(F.lit("brand").alias("k"), F.col("p_brand").alias("v")), F.struct(F.lit("type").alias("k"), F.col("p_type").alias("v")))
+    m = F.map_from_entries(entries)
+    return t.part.select("p_partkey", m["brand"].alias("brand"), F.array_join(F.array_sort(F.map_keys(m)), ",").alias("keys"), F.size(m).alias("n_keys"))
 
 
-@query("SELECT p_partkey, md5(p_name) AS m, sha256(p_name) AS s FROM part")
+@query("SELECT doc_id, md5(text) AS m, sha256(text) AS s FROM documents")
 def hashes(t: Tables) -> DataFrame:
-    return t.part.select("p_partkey", F.md5("p_name").alias("m"), F.sha2("p_name", 256).alias("s"))
+    return t.documents.select("doc_id", F.md5("text").alias("m"), F.sha2("text", 256).alias("s"))
+
+
+@query("SELECT n_name, length(n_name) * 2 AS code FROM nation")
+def registered_function(t: Tables) -> DataFrame:
+    """A Python function by name in SQL, fed in Arrow batches."""
+
+    @F.pandas_udf("long")
+    def twice_the_length(names: pd.Series) -> pd.Series:
+        return names.str.len() * 2
+
+    t.spark.udf.register("twice_the_length", twice_the_length)
+    return t.nation.select("n_name", F.expr("twice_the_length(n_name)").alias("code"))
 
 
 @query("SELECT event_id, value * 2 AS doubled FROM events")

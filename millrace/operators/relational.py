@@ -130,6 +130,27 @@ def join_shuffle_hash(t: Tables) -> DataFrame:
     return t.orders.join(t.customer.hint("shuffle_hash"), F.col("o_custkey") == F.col("c_custkey")).select("c_name", "o_orderkey")
 
 
+@query("SELECT c_name, o_orderkey FROM orders JOIN customer ON o_custkey = c_custkey")
+def join_merge(t: Tables) -> DataFrame:
+    return t.orders.join(t.customer.hint("merge"), F.col("o_custkey") == F.col("c_custkey")).select("c_name", "o_orderkey")
+
+
+@query("SELECT n_name, s_suppkey FROM supplier JOIN nation ON s_nationkey = n_nationkey")
+def join_broadcast(t: Tables) -> DataFrame:
+    """The broadcast side is fixed in size: 25 rows."""
+    return t.supplier.join(t.nation.hint("broadcast"), F.col("s_nationkey") == F.col("n_nationkey")).select("n_name", "s_suppkey")
+
+
+@query("SELECT c_custkey, (SELECT max(o_totalprice) FROM orders WHERE o_custkey = c_custkey) AS most FROM customer")
+def correlated_subquery(t: Tables) -> DataFrame:
+    return t.spark.sql("SELECT c_custkey, (SELECT max(o_totalprice) FROM {orders} WHERE o_custkey = c_custkey) AS most FROM {customer}", orders=t.orders, customer=t.customer)
+
+
+@query("SELECT c_custkey, n, last FROM customer, LATERAL (SELECT count(*) AS n, max(o_orderkey) AS last FROM orders WHERE o_custkey = c_custkey) x")
+def lateral_join(t: Tables) -> DataFrame:
+    return t.spark.sql("SELECT c_custkey, n, last FROM {customer}, LATERAL (SELECT count(*) AS n, max(o_orderkey) AS last FROM {orders} WHERE o_custkey = c_custkey) x", orders=t.orders, customer=t.customer)
+
+
 @query("SELECT o_orderkey FROM orders o WHERE o_totalprice > (SELECT avg(CAST(o_totalprice AS DECIMAL(12,2))) FROM orders i WHERE i.o_custkey = o.o_custkey)")
 def scalar_subquery(t: Tables) -> DataFrame:
     """Orders above their customer's mean: compared as sum and count, in decimals."""

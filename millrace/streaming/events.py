@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -27,10 +26,24 @@ def stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run(df: DataFrame, mode: str) -> DataFrame:
-    """Runs a stream to its present end, and returns what it wrote."""
-    name = f"stream_{uuid.uuid4().hex}"
-    df.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start().awaitTermination()
-    return df.sparkSession.table(name)
+    """Runs a stream to its present end, from a checkpoint of its own, and returns what it wrote to files.
+
+    In complete mode, where files can't be appended to, each batch writes the
+    whole result anew, in a folder by its number.
+    """
+    spark, sink = df.sparkSession, scratch(df.sparkSession)
+    writer = df.writeStream.option("checkpointLocation", scratch(spark)).outputMode(mode).trigger(availableNow=True)
+    if mode != "complete":
+        writer.format("parquet").option("path", sink).start().awaitTermination()
+        return spark.read.schema(df.schema).parquet(sink)
+    last = [-1]
+
+    def whole(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{sink}/{number}")
+        last[0] = number
+
+    writer.foreachBatch(whole).start().awaitTermination()
+    return spark.read.schema(df.schema).parquet(f"{sink}/{last[0]}") if last[0] >= 0 else spark.createDataFrame([], df.schema)
 
 
 def tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
