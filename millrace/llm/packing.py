@@ -23,7 +23,7 @@ from .common import bucketed, by_bytes, kept, slices, stored
 #: Distinct words, last met, whose ids a Python worker remembers; up to as many met before them are kept too.
 REMEMBERED = 250_000
 #: Bytes of texts that are encoded at once (a text of more is whole).
-ENCODED_BYTES = 4 << 20
+ENCODED_BYTES = 6 << 20
 #: Texts to a bucket of the stored ids, on average, and buckets at most (Spark's own limit): tasks read them as streams, however large.
 BUCKET_ROWS = 16_384
 BUCKETS = 100_000
