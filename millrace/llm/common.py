@@ -20,6 +20,8 @@ from ..sources.formats import scratch
 #: Rows that the Python functions handle at once, so that their copies of the
 #: texts of an Arrow batch stay small.
 SLICE = 128
+#: Edges that a task contracts at once.
+EDGES = 1 << 19
 
 
 def stored(df: DataFrame, partition_by: str | None = None) -> DataFrame:
@@ -113,34 +115,48 @@ def local_components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = new
 
 
+def contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stars (src, dst: the least node) with the components of each ``EDGES`` edges (src, dst)."""
+
+    def stars(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        src, dst = (np.concatenate([p.column(i).to_numpy() for p in parts]) for i in (0, 1))
+        nodes, at = np.unique(np.concatenate((src, dst)), return_inverse=True)
+        root = local_components(len(nodes), at[: len(src)], at[len(src) :])
+        other = np.flatnonzero(root != np.arange(len(nodes)))
+        return pa.RecordBatch.from_arrays([pa.array(nodes[other]), pa.array(nodes[root[other]])], ["src", "dst"])
+
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= EDGES:
+            yield stars(held)
+            held, rows = [], 0
+    if rows:
+        yield stars(held)
+
+
+def are_stars(edges: DataFrame) -> bool:
+    """Whether each src (greater than its dst) has one dst alone, which is no src: all components are found."""
+    ends = edges.select(F.col("src").alias("node"), "dst").unionByName(edges.select(F.col("dst").alias("node"), F.lit(None).cast("long").alias("dst")))
+    ends = ends.groupBy("node").agg(F.min("dst").alias("low"), F.max("dst").alias("high"), F.max(F.col("dst").isNull()).alias("centre"))
+    return not ends.agg(F.max((F.col("low") != F.col("high")) | (F.col("centre") & F.col("low").isNotNull()))).first()[0]
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (src, dst: long), root being the least node of its component.
 
-    Alternates large-star and small-star steps until the edges are stars. Every
-    step is a partial minimum and an equi-join that AQE can split on skew; no
-    node's neighbours are gathered. Each round is stored, which bounds the plan.
+    Tasks contract the edges that they read, in bounded parts; then large-star
+    and small-star steps alternate until the edges are stars. Every step is a
+    partial minimum and an equi-join that AQE can split on skew; no node's
+    neighbours are gathered. Each round is stored, which bounds the plan.
     """
-    edges = stored(
-        edges.where("src <> dst").select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct()
-    )
-    before = None
-    while True:
+    edges = stored(edges.select("src", "dst").where("src <> dst").mapInArrow(contracted, "src long, dst long"))
+    while not are_stars(edges):
         both = edges.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
         least = both.groupBy("src").agg(F.min("dst").alias("m")).select("src", F.least("src", "m").alias("m"))
-        large = both.where("dst > src").join(least, "src").select(F.col("dst").alias("src"), F.col("m").alias("dst")).distinct()
-        large = stored(large)
+        large = stored(both.where("dst > src").join(least, "src").select(F.col("dst").alias("src"), F.col("m").alias("dst")).distinct())
         low = large.groupBy("src").agg(F.min("dst").alias("m"))
         small = large.join(low, "src").where("dst <> m").select(F.col("dst").alias("src"), F.col("m").alias("dst"))
-        edges = stored(
-            small.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst"))
-            .unionByName(low.withColumnRenamed("m", "dst"))
-            .where("src <> dst")
-            .distinct()
-        )
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
-    return edges.select(F.col("src").alias("node"), F.col("dst").alias("root")).unionByName(
-        edges.select(F.col("dst").alias("node"), F.col("dst").alias("root")).distinct()
-    )
+        edges = stored(small.unionByName(low.withColumnRenamed("m", "dst")).mapInArrow(contracted, "src long, dst long"))
+    return edges.select(F.col("src").alias("node"), F.col("dst").alias("root")).unionByName(edges.select("dst").distinct().select(F.col("dst").alias("node"), F.col("dst").alias("root"))).distinct()

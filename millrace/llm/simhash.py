@@ -434,7 +434,7 @@ def ball_pairs(nodes: DataFrame, radius: int = 4) -> DataFrame:
 
 
 def similar(links: pa.Table, sets: pa.Table, similarity: float) -> pa.Table:
-    """Those of the links between sets that are similar, but for links between sets that others of them connect already."""
+    """(src, dst: the least node) for each set that similar links connect to a lesser one; links between sets that others connect already are passed over."""
     node = sets.column("node").to_numpy()
     order = np.argsort(node, kind="stable")
     items = pa.concat_arrays(sets.column("items").chunks) if sets.num_rows else pa.array([], pa.list_(pa.int64()))
@@ -450,8 +450,7 @@ def similar(links: pa.Table, sets: pa.Table, similarity: float) -> pa.Table:
             i = parent[i]
         return i
 
-    kept = []
-    for k, i, j in zip(first.tolist(), a[first].tolist(), b[first].tolist()):
+    for i, j in zip(a[first].tolist(), b[first].tolist()):
         root, other = find(i), find(j)
         if root == other:
             continue
@@ -459,8 +458,11 @@ def similar(links: pa.Table, sets: pa.Table, similarity: float) -> pa.Table:
         both = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
         if both >= similarity * (len(x) + len(y) - both):
             parent[other] = root
-            kept.append(k)
-    return links.select(["src", "dst"]).take(pa.array(kept, pa.int64()))
+    roots = np.array([find(i) for i in range(len(node))], np.int64)
+    least = node.copy()
+    np.minimum.at(least, roots, node)
+    below = np.flatnonzero(least[roots] != node)
+    return pa.table({"src": node[below], "dst": least[roots[below]]})
 
 
 def plausible(links: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
@@ -479,7 +481,7 @@ def plausible(links: DataFrame, nodes: DataFrame, similarity: float) -> DataFram
 
 
 def verified(links: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
-    """(src, dst): of links between ``nodes`` (node, none, id, hash, n, sketch), similar ones that connect all that similar ones connect.
+    """(src, dst): stars that connect what the similar ones of ``links`` between ``nodes`` (node, none, id, hash, n, sketch) connect.
 
     Sketches, small ones, drop most links that are not similar. What the others connect is put in one cell, where each set is needed once,
     and links of sets that are found connected are passed over. Cells hold the
