@@ -185,8 +185,9 @@ EACH_SHARED = 32
 #: Rows of a bucket of prefixes, and of a block of a crowded shingle, on average.
 BUCKET_ROWS = 50_000
 BLOCK_ROWS = 4096
-#: Sets that share a shingle and are compared in all pairs at once; pairs of a round for each row of a block.
+#: Sets that share a shingle and are compared in all pairs at once; pairs for each row of a block in the first round, and in later ones, which double them.
 AT_ONCE_SETS = 32
+FIRST_PAIRS = 2
 ROUND_PAIRS = 32
 #: Words of sketches that are compared at once.
 PAIR_WORDS = 1 << 17
@@ -341,7 +342,7 @@ def more_pairs(root: np.ndarray, side: np.ndarray, n: np.ndarray, bits: np.ndarr
         lower = np.unique(lower[possible(n, bits, lower, lower + offset, similarity)])
         if len(lower):
             waiting.append((lower, lower + offset))
-        if sum(len(w[0]) for w in waiting) >= 1 << 15:
+        if sum(len(w[0]) for w in waiting) >= min(most, 1 << 15):
             total += flush()
         if total > most:
             return np.concatenate(links_a), np.concatenate(links_b), offset
@@ -585,9 +586,10 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     many = nodes.agg(F.sum(F.col("n") - F.ceil(similarity * F.col("n")) + 1 + F.floor(F.col("n") / EACH_SHARED))).first()[0] or 0
     links, crowded = first_links(classes, many, similarity)
     roots = joined(links)
-    done = None
+    done, pairs = None, min(FIRST_PAIRS, ROUND_PAIRS)
     while not (crowded.isEmpty() if done is None else done.isEmpty()):
-        links, done = more_links(crowded, nodes.select("node", "sketch"), roots, done, similarity, ROUND_PAIRS)
+        links, done = more_links(crowded, nodes.select("node", "sketch"), roots, done, similarity, pairs)
+        pairs = min(2 * pairs, ROUND_PAIRS)  # few at first, as verified links spare most of the others
         if not links.isEmpty():
             roots = joined(links)
     least = nodes.select("node", F.when(~F.col("none"), F.col("id")).alias("least")).join(roots, "node", "left").withColumn("component", F.coalesce("root", "node"))
