@@ -2,6 +2,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
@@ -219,3 +220,21 @@ def test_crowded_shingles_in_rounds_and_blocks(spark, monkeypatch):
     for i, g in enumerate(slow_groups(rows)):
         want[g].append(i)
     assert grouped(simhash.near_copies(docs).collect(), "component") == sorted(want.values())
+
+
+def test_contracted_in_parts(monkeypatch):
+    """Each part becomes stars around its least nodes, of the same components as its edges."""
+    from millrace.llm import common
+
+    monkeypatch.setattr(common, "EDGES", 3)
+    batches = [pa.RecordBatch.from_pydict({"src": pa.array(s, pa.int64()), "dst": pa.array(d, pa.int64())}) for s, d in (([5, 4], [4, -3]), ([9], [9]), ([7, 7], [8, 8]))]
+    found = [list(zip(*b.to_pydict().values())) for b in common.contracted(iter(batches))]
+    assert found == [[(4, -3), (5, -3)], [(8, 7)]]
+    assert list(common.contracted(iter([]))) == []
+
+
+def test_stars(spark):
+    from millrace.llm.common import are_stars
+
+    for edges, stars in (([], True), ([(3, 1), (3, 1), (4, 1), (9, 2)], True), ([(3, 1), (3, 2)], False), ([(3, 2), (2, 1)], False)):
+        assert are_stars(spark.createDataFrame(edges, "src long, dst long")) is stars
