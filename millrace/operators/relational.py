@@ -11,6 +11,8 @@ from ..sources.tables import Tables
 
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {}
 SQL: dict[str, str] = {}
+#: Parts in a block of join_theta.
+BLOCK_ROWS = 1024
 
 
 def query(sql: str) -> Callable:
@@ -95,9 +97,16 @@ def join_anti(t: Tables) -> DataFrame:
 
 @query("SELECT a.p_partkey AS part_a, b.p_partkey AS part_b FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_type = b.p_type AND a.p_size < b.p_size AND a.p_retailprice > b.p_retailprice")
 def join_theta(t: Tables) -> DataFrame:
-    a, b = t.part.alias("a"), t.part.alias("b")
-    on = (F.col("a.p_brand") == F.col("b.p_brand")) & (F.col("a.p_type") == F.col("b.p_type")) & (F.col("a.p_size") < F.col("b.p_size")) & (F.col("a.p_retailprice") > F.col("b.p_retailprice"))
-    return a.join(b, on).select(F.col("a.p_partkey").alias("part_a"), F.col("b.p_partkey").alias("part_b"))
+    """Each group's parts, by price, in blocks: a block meets its own and dearer parts, and skips its sizes that are too small as a whole. A fixed number of tasks, as the pairs are many more than the size of the input tells."""
+    group, n = ["p_brand", "p_type"], int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    place = F.row_number().over(Window.partitionBy(*group).orderBy("p_retailprice", "p_size", "p_partkey")) - 1
+    parts = t.part.where("p_brand IS NOT NULL AND p_type IS NOT NULL AND p_size IS NOT NULL AND p_retailprice IS NOT NULL").select(*group, F.floor(place / BLOCK_ROWS).alias("block"), "p_size", "p_retailprice", "p_partkey")
+    a = parts.withColumn("block", F.explode(F.sequence(F.lit(0), "block"))).repartition(n, *group, "block")
+    rows = F.collect_list(F.struct(F.col("p_retailprice").alias("price"), F.col("p_partkey").alias("part_b"))).alias("rows")
+    sizes = parts.groupBy(*group, "block", F.col("p_size").alias("size")).agg(rows)
+    b = sizes.groupBy(*group, "block").agg(F.collect_list(F.struct("size", "rows")).alias("sizes")).repartition(n, *group, "block")
+    larger = a.join(b.hint("merge"), [*group, "block"]).select("p_size", "p_retailprice", F.col("p_partkey").alias("part_a"), F.inline("sizes")).where("p_size < size")
+    return larger.select("p_retailprice", "part_a", F.inline("rows")).where("p_retailprice > price").select("part_a", "part_b")
 
 
 @query("SELECT e.event_id AS error_id, v.event_id AS view_id FROM events e JOIN events v ON e.user_id = v.user_id AND e.event_type = 'error' AND v.event_type = 'view' AND v.ts BETWEEN e.ts - INTERVAL 1 HOUR AND e.ts")
