@@ -97,8 +97,8 @@ def join_anti(t: Tables) -> DataFrame:
 
 @query("SELECT a.p_partkey AS part_a, b.p_partkey AS part_b FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_type = b.p_type AND a.p_size < b.p_size AND a.p_retailprice > b.p_retailprice")
 def join_theta(t: Tables) -> DataFrame:
-    """Each group's parts, by price, in blocks: a block meets its own and dearer parts, and skips its sizes that are too small as a whole. A fixed number of tasks, as the pairs are many more than the size of the input tells."""
-    group, n = ["p_brand", "p_type"], int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    """Each group's parts, by price, in blocks: a block meets its own and dearer parts, and skips its sizes that are too small as a whole. A fixed number of tasks, several for each core, as the pairs are many more than the size of the input tells."""
+    group, n = ["p_brand", "p_type"], max(int(t.spark.conf.get("spark.sql.shuffle.partitions")), 8 * t.spark.sparkContext.defaultParallelism)
     place = F.row_number().over(Window.partitionBy(*group).orderBy("p_retailprice", "p_size", "p_partkey")) - 1
     parts = t.part.where("p_brand IS NOT NULL AND p_type IS NOT NULL AND p_size IS NOT NULL AND p_retailprice IS NOT NULL").select(*group, F.floor(place / BLOCK_ROWS).alias("block"), "p_size", "p_retailprice", "p_partkey")
     a = parts.withColumn("block", F.explode(F.sequence(F.lit(0), "block"))).repartition(n, *group, "block")
